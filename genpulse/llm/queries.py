@@ -6,6 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
 from .exact_dedup import exact_groups
+from .quality_oracle import OP2_SQL
+from .quality_rules import COUNTS, quality
+
+
+def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir)).select("doc_id", *COUNTS, "base_failed", "kept")
 
 
 def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,5 +28,5 @@ FROM documents
 WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op8_content_sort": op8_content_sort}
-ORACLES = {"op8_content_sort": OP8_SQL}
+QUERIES = {"op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
+ORACLES = {"op2_weak_supervision": OP2_SQL, "op8_content_sort": OP8_SQL}
