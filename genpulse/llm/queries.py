@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
 from .exact_dedup import exact_groups
+from .packing import pack
 from .quality_oracle import OP2_SQL
 from .quality_rules import COUNTS, quality
+from .secrets import find_secrets
+
+
+def op5_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(documents(spark, sf_dir))
 
 
 def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,5 +39,5 @@ FROM documents
 WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
+QUERIES = {"op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
 ORACLES = {"op2_weak_supervision": OP2_SQL, "op8_content_sort": OP8_SQL}
