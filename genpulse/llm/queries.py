@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .byte_bpe import round_trip
+from .chat import canonical_turns, format_conversations, read_back
 from .common import documents
 from .exact_dedup import exact_groups
 from .packing import pack
@@ -39,5 +42,36 @@ FROM documents
 WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
-ORACLES = {"op2_weak_supervision": OP2_SQL, "op8_content_sort": OP8_SQL}
+def op7_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+#: A conversation whose texts hold the control strings of common templates.
+CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op4_schema_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn int, role string, text string"))
+    record = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
+    return read_back(format_conversations(canonical_turns(rows.withColumn("record", record), "conv_id", "record", "turn")))
+
+
+OP4_SQL = """
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped AS (
+    SELECT *, regexp_replace(text, '(<|\\[)(\\\\*)(\\|im_start\\|>|\\|im_end\\|>|\\|endoftext\\|>|s>|/s>|INST\\]|/INST\\]|<SYS>>|</SYS>>)', '\\1\\\\\\2\\3', 'g') AS body
+    FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|im_start|>') + length(role) + 2 + length(body) + length('<|im_end|>'))::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+QUERIES = {"op7_recursive_bpe": op7_recursive_bpe, "op4_schema_fingerprints": op4_schema_fingerprints, "op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
+ORACLES = {"op4_schema_fingerprints": OP4_SQL, "op2_weak_supervision": OP2_SQL, "op8_content_sort": OP8_SQL}
