@@ -10,6 +10,7 @@ from .byte_bpe import round_trip
 from .chat import canonical_turns, format_conversations, read_back
 from .common import documents
 from .exact_dedup import exact_groups
+from .near_dedup import near_duplicates
 from .packing import pack
 from .quality_oracle import OP2_SQL
 from .quality_rules import COUNTS, quality
@@ -42,6 +43,10 @@ FROM documents
 WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
+def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op7_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -73,5 +78,5 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
-QUERIES = {"op7_recursive_bpe": op7_recursive_bpe, "op4_schema_fingerprints": op4_schema_fingerprints, "op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
+QUERIES = {"op6_lsh_forest": op6_lsh_forest, "op7_recursive_bpe": op7_recursive_bpe, "op4_schema_fingerprints": op4_schema_fingerprints, "op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
 ORACLES = {"op4_schema_fingerprints": OP4_SQL, "op2_weak_supervision": OP2_SQL, "op8_content_sort": OP8_SQL}
