@@ -12,6 +12,7 @@ from .common import documents
 from .exact_dedup import exact_groups
 from .near_dedup import near_duplicates
 from .packing import pack
+from .pii import personal_data
 from .quality_oracle import OP2_SQL
 from .quality_rules import COUNTS, quality
 from .secrets import find_secrets
@@ -43,6 +44,11 @@ FROM documents
 WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
+def op3_char_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -78,5 +84,5 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
-QUERIES = {"op6_lsh_forest": op6_lsh_forest, "op7_recursive_bpe": op7_recursive_bpe, "op4_schema_fingerprints": op4_schema_fingerprints, "op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
+QUERIES = {"op3_char_bilstm_crf": op3_char_bilstm_crf, "op6_lsh_forest": op6_lsh_forest, "op7_recursive_bpe": op7_recursive_bpe, "op4_schema_fingerprints": op4_schema_fingerprints, "op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
 ORACLES = {"op4_schema_fingerprints": OP4_SQL, "op2_weak_supervision": OP2_SQL, "op8_content_sort": OP8_SQL}
