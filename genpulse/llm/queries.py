@@ -10,6 +10,7 @@ from .byte_bpe import round_trip
 from .chat import canonical_turns, format_conversations, read_back
 from .common import documents
 from .exact_dedup import exact_groups
+from .line_dedup import line_dedup
 from .near_dedup import near_duplicates
 from .packing import pack
 from .pii import personal_data
@@ -68,6 +69,10 @@ def op4_schema_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(canonical_turns(rows.withColumn("record", record), "conv_id", "record", "turn")))
 
 
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir))
+
+
 OP4_SQL = """
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -84,5 +89,5 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
-QUERIES = {"op3_char_bilstm_crf": op3_char_bilstm_crf, "op6_lsh_forest": op6_lsh_forest, "op7_recursive_bpe": op7_recursive_bpe, "op4_schema_fingerprints": op4_schema_fingerprints, "op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
+QUERIES = {"op9_fuzzy_lines": op9_fuzzy_lines, "op3_char_bilstm_crf": op3_char_bilstm_crf, "op6_lsh_forest": op6_lsh_forest, "op7_recursive_bpe": op7_recursive_bpe, "op4_schema_fingerprints": op4_schema_fingerprints, "op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
 ORACLES = {"op4_schema_fingerprints": OP4_SQL, "op2_weak_supervision": OP2_SQL, "op8_content_sort": OP8_SQL}
