@@ -14,8 +14,10 @@ or groups in its rows, and a lost task only packs its own rows again, to the sam
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,33 +31,71 @@ CAPACITY, END_ID = 4096, 2
 #: Cost of a token, and of a pair of tokens of one document, in units of a token's cost.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 #: Tokens that one batch holds before it is packed; rows of a task encoded at once; words remembered.
-BATCH_TOKENS, ROWS, WORDS = 1 << 20, 64, 400_000
+BATCH_TOKENS, ROWS, WORDS = 1 << 20, 64, 900_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level tokenizers write a byte: printable ones as themselves, the rest from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class WordEncoder:
-    """Ids of texts under a vocabulary whose splits never cross ASCII white space.
+    """Ids of texts under a lower-casing BPE tokenizer whose splits never cross ASCII white space.
 
-    Such a tokenizer gives a text the ids of its words in turn, so each different word is
-    encoded once by the library and remembered, up to `limit` words.
+    Such a tokenizer gives a text the ids of its words in turn, and a word those of its pieces, so
+    each different word and piece is encoded once and remembered, up to `limit` of them, for all
+    the tasks of a Python worker. Words of plain Latin characters, which normalisation leaves as
+    they are but for their case, go to the library's BPE model piece by piece; all others to the
+    whole tokenizer.
     """
 
     _words = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+    _plain = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    _pieces = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+    _split = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    _made: dict[str, WordEncoder] = {}
+
+    @classmethod
+    def of(cls, path: str) -> WordEncoder:
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
 
     def __init__(self, path: str, limit: int = WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit, self.known, self.pieces = Tokenizer.from_file(path), limit, {}, {}
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
+        steps = [n["type"] for n in (config["normalizer"] or {}).get("normalizers", [])]
+        splits = (config["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.by_piece = steps == ["NFC", "Replace", "Lowercase"] and [x.get("type") for x in splits] == ["Split", "ByteLevel"] and splits[0]["pattern"] == {"Regex": self._split}
+        self.special = [t["content"] for t in config["added_tokens"]]
+        self.letters = str.maketrans(_byte_letters())
+
+    def _ids(self, word: str) -> bytes:
+        if not (self.by_piece and self._plain.fullmatch(word)) or any(t in word for t in self.special):
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        out = []
+        for piece in self._pieces.findall(word.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                written = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+                ids = self.pieces[piece] = array("I", [t.id for t in self.tokenizer.model.tokenize(written)]).tobytes()
+            out.append(ids)
+        return b"".join(out)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         split = [self._words.findall(t) for t in texts]
-        if len(self.known) > self.limit:
-            self.known = {}
+        if len(self.known) + len(self.pieces) > self.limit:
+            self.known, self.pieces = {}, {}
         known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = np.array(e.ids, dtype="<u4").tobytes()
+        for w in {w for words in split for w in words} - known.keys():
+            known[w] = self._ids(w)
         return [np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4") for words in split]
 
 
@@ -142,7 +182,7 @@ def pack(
     schema = PIECES + (", ids array<int>" if with_ids else "")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, ids, tokens, held = WordEncoder(tokenizer_path), [], [], 0
+        encode, ids, tokens, held = WordEncoder.of(tokenizer_path), [], [], 0
         sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
         for frame in frames:
             for at in range(0, len(frame), ROWS):
