@@ -94,7 +94,7 @@ class WordEncoder:
         if len(self.known) + len(self.pieces) > self.limit:
             self.known, self.pieces = {}, {}
         known = self.known
-        for w in {w for words in split for w in words} - known.keys():
+        for w in {w for words in split for w in words if w not in known}:
             known[w] = self._ids(w)
         return [np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4") for words in split]
 
