@@ -17,6 +17,11 @@ from .pii import personal_data
 from .quality_oracle import OP2_SQL
 from .quality_rules import COUNTS, quality
 from .secrets import find_secrets
+from .substring_dedup import substring_dedup
+
+
+def op1_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir)).drop("kept")
 
 
 def op5_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,5 +94,5 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
-QUERIES = {"op9_fuzzy_lines": op9_fuzzy_lines, "op3_char_bilstm_crf": op3_char_bilstm_crf, "op6_lsh_forest": op6_lsh_forest, "op7_recursive_bpe": op7_recursive_bpe, "op4_schema_fingerprints": op4_schema_fingerprints, "op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
+QUERIES = {"op1_suffix_arrays": op1_suffix_arrays, "op9_fuzzy_lines": op9_fuzzy_lines, "op3_char_bilstm_crf": op3_char_bilstm_crf, "op6_lsh_forest": op6_lsh_forest, "op7_recursive_bpe": op7_recursive_bpe, "op4_schema_fingerprints": op4_schema_fingerprints, "op5_cost_balanced_packing": op5_cost_balanced_packing, "op10_credential_linking": op10_credential_linking, "op2_weak_supervision": op2_weak_supervision, "op8_content_sort": op8_content_sort}
 ORACLES = {"op4_schema_fingerprints": OP4_SQL, "op2_weak_supervision": OP2_SQL, "op8_content_sort": OP8_SQL}
