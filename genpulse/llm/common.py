@@ -6,10 +6,14 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Separators of words in every contract: space and the ASCII controls tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Identifiers that may be broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -38,3 +42,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def only(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads, under fixed names, whatever else the table carries."""
     return df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """ids, to be broadcast if they are few enough."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
+def without_rejected(documents: DataFrame, judged: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """documents, all columns, less those whose rows in judged (doc_id, kept) are none of them kept.
+    Rows that share an identifier, null included, share their fate."""
+    fate = judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
+    rejected = stored(fate.where("NOT kept").select(F.col("doc_id").alias("_rejected")), "rejected")
+    return documents.join(small(rejected), documents[id_col].eqNullSafe(F.col("_rejected")), "left_anti")

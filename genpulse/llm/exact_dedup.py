@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, stored
+from .common import only, stored, without_rejected
 
 #: Parts into which one group of copies is divided, and characters of a text that a splitter holds.
 SLICES, SPLITTER_CHARS = 64, 64
@@ -64,3 +64,8 @@ def exact_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & ~F.col("repeats")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def one_of_equals(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
+    """documents, all columns, with one document of each group of identical texts."""
+    return without_rejected(documents, exact_groups(documents, id_col, text_col, keep), id_col)

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, without_rejected
 
 SEPARATORS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -143,5 +143,4 @@ def quality(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def good_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that quality keeps, with all their columns."""
-    good = quality(documents, id_col, text_col).where("kept").select(F.col("doc_id").alias("_good")).distinct()
-    return documents.join(good, documents[id_col] == good["_good"], "left_semi")
+    return without_rejected(documents, quality(documents, id_col, text_col), id_col)

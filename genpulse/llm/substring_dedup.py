@@ -21,14 +21,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, stored
+from .common import only, small, stored
 from .induced_sort import common_prefixes, suffix_order
 
 #: Bytes of a string that must not repeat, and of the strings whose least hash is its key.
 LENGTH, GRAM = 100, 32
 #: Different runs of a key before it is divided; bytes sorted at once.
 CROWD, SHARD_BYTES = 4000, 2_000_000
-BROADCAST_IDS = 1_000_000
 _BATCH_BYTES = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -200,10 +199,6 @@ def _sorted_shards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield done(pd.concat(held, ignore_index=True))
 
 
-def _near_ids(table: DataFrame, ids: DataFrame) -> DataFrame:
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-
 def repeated_starts(source: DataFrame) -> DataFrame:
     """(doc, start, starts): runs of starts in source (doc, text) whose LENGTH bytes start earlier too."""
     all_runs = source.mapInPandas(_all_runs, "key long, doc long, start int, starts int, span long")
@@ -221,7 +216,7 @@ def repeated_starts(source: DataFrame) -> DataFrame:
     crowds = crowds.withColumn("shards", F.ceil(F.col("n") / CROWD).cast("int"))
     different = crowds.where("n > 1").join(spans, "key").select("key", "kept.*", "shards")
     wanted = stored(different.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "starts", "shards")).alias("wanted")), "wanted-runs")
-    texts = source.join(_near_ids(source, wanted.select("doc")), "doc", "left_semi")
+    texts = source.join(small(wanted.select("doc")), "doc", "left_semi")
     snippets = texts.join(wanted, "doc").mapInPandas(_snippets, "key long, shard long, doc long, start int, starts int, content binary")
     dealt = snippets.repartition("key", "shard").sortWithinPartitions("key", "shard")
     sorted_out = dealt.mapInPandas(_sorted_shards, "doc long, start int, starts int")
@@ -261,7 +256,7 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
     spans = stored(repeated_starts(source.select("doc", "text")), "repeated-starts")
     by_doc = stored(spans.groupBy("doc").agg(F.collect_list(F.struct("start", "starts")).alias("spans")), "spans-by-document")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    ids = _near_ids(source, by_doc.select("doc"))
+    ids = small(by_doc.select("doc"))
     touched = source.join(ids, "doc", "left_semi").join(by_doc, "doc").select("doc_id", "text", "spans")
     whole = source.join(ids, "doc", "left_anti").select("doc_id", "text", F.lit(None).cast(by_doc.schema["spans"].dataType).alias("spans"))
     out = touched.unionByName(whole).mapInPandas(_kept, schema)
