@@ -1 +1 @@
-
+"""Readers, writers and guards of telemetry tables."""
