@@ -221,7 +221,7 @@ def target_changes(a: DataFrame, b: DataFrame, column: str = "target_fuel") -> D
     both = a.select(*keys, F.col(column).alias("x"), F.lit(True).alias("in_a")).join(b.select(*keys, F.col(column).alias("y"), F.lit(True).alias("in_b")), keys, "full_outer")
     met = F.col("in_a").isNotNull() & F.col("in_b").isNotNull()
     return both.agg(
-        F.count_if(F.col("in_b").isNull()).alias("left_only"), F.count_if(F.col("in_a").isNull()).alias("right_only"), F.count_if(met).alias("both"),
+        F.count_if(F.col("in_b").isNull()).alias("left_only"), F.count_if(F.col("in_a").isNull()).alias("right_only"), F.count_if(met).alias("in_both"),
         F.count_if(met & F.col("x").isNotNull() & F.col("y").isNull()).alias("valid_to_missing"), F.count_if(met & F.col("x").isNull() & F.col("y").isNotNull()).alias("missing_to_valid"),
         F.count_if(met & (F.abs(F.col("x") - F.col("y")) > 1e-6)).alias("changed"),
     )

@@ -258,7 +258,7 @@ def generator_anomaly_summary(spark, sf_dir):
 
 @query(sql.TARGET)
 def forecast_target(spark, sf_dir):
-    return fc.target(src.telemetry(spark, sf_dir), 3, 60).select("row_id", "target_fuel", F.round("target_minutes", 6).alias("target_minutes"), "target_available")
+    return fc.target(src.telemetry(spark, sf_dir), 3, 60).select("row_id", "target_fuel", F.round("target_minutes", 9).alias("target_minutes"), "target_available")
 
 
 @query(sql.PERSISTENCE)

@@ -254,7 +254,7 @@ CASE maintenance_priority WHEN 'None' THEN 'No action required' WHEN 'Low' THEN
 ANOMALIES = _with(_A, """SELECT row_id, fuel_theft, refueling, fuel_stuck, current_spike, current_zero_running, battery_low, battery_spike, battery_unstable, state_anomaly, telemetry_anomaly, fuel_spike, overall_anomaly_score, anomaly_flag, anomaly_severity,
 CASE WHEN len(found) = 0 THEN 'No anomaly detected' ELSE array_to_string(found, '; ') END AS anomaly_reason, CASE WHEN len(acts) = 0 THEN 'No action required' ELSE array_to_string(acts, '; ') END AS anomaly_action, state_anomaly_reason, telemetry_severity FROM A""")
 ANOMALY_SUMMARY = _with(_A, "SELECT generator_id, count(*) AS n_rows, count(*) FILTER (anomaly_flag) AS n_anomalies, round(avg(overall_anomaly_score), 4) AS mean_score, max(overall_anomaly_score) AS worst_score FROM A GROUP BY generator_id")
-TARGET = _with(_TARGET, "SELECT row_id, target_fuel, round((target_us - us - 10800000000) / 60e6, 6) AS target_minutes, target_fuel IS NOT NULL AS target_available FROM F")
+TARGET = _with(_TARGET, "SELECT row_id, target_fuel, round((target_us - us - 10800000000) / 60e6, 9) AS target_minutes, target_fuel IS NOT NULL AS target_available FROM F")
 PERSISTENCE = _with(_TARGET, "SELECT row_id, persistence, round((us - persistence_us) / 1e6, 6) AS age_seconds FROM P")
 _SPLIT = ", sp AS (SELECT *, CASE WHEN k <= floor(n * 0.7::DOUBLE) THEN 'train' WHEN k <= floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'validation' ELSE 'test' END AS split FROM (SELECT *, count(*) OVER (PARTITION BY generator_id) AS n, row_number() OVER (PARTITION BY generator_id ORDER BY timestamp, row_id) AS k FROM T))"
 SPLIT = _with(_SPLIT, "SELECT row_id, split FROM sp")
@@ -270,7 +270,7 @@ _BINS = [(None, 10, "<=10"), (10, 25, "10-25"), (25, 50, "25-50"), (50, 100, "50
 ERROR_RANGES = _with(_TARGET, " UNION ALL ".join(f"SELECT '{name}' AS bin, count(*) AS n, round(avg(absolute_error), 4) AS mae FROM E WHERE error IS NOT NULL" + (f" AND target_fuel > {low}" if low is not None else "") + (f" AND target_fuel <= {high}" if high is not None else "") for low, high, name in _BINS))
 WORST = _with(_TARGET, "SELECT row_id, round(absolute_error, 4) AS absolute_error FROM E WHERE error IS NOT NULL ORDER BY E.absolute_error DESC, row_id LIMIT 20")
 MULTISET = _with("", "SELECT (SELECT count(*) FROM (SELECT generator_id, site_name, status FROM R EXCEPT ALL SELECT generator_id, site_name, status FROM T)) AS only_a, (SELECT count(*) FROM (SELECT generator_id, site_name, status FROM T EXCEPT ALL SELECT generator_id, site_name, status FROM R)) AS only_b")
-TARGET_CHANGES = _with(_TARGET, "SELECT 0::BIGINT AS left_only, 0::BIGINT AS right_only, count(*) AS both, count(*) FILTER (target_us - us - 10800000000 > 1800000000) AS valid_to_missing, 0::BIGINT AS missing_to_valid, 0::BIGINT AS changed FROM F")
+TARGET_CHANGES = _with(_TARGET, "SELECT 0::BIGINT AS left_only, 0::BIGINT AS right_only, count(*) AS in_both, count(*) FILTER (target_us - us - 10800000000 > 1800000000) AS valid_to_missing, 0::BIGINT AS missing_to_valid, 0::BIGINT AS changed FROM F")
 FLEET = _with(_H, "SELECT count(DISTINCT generator_id) AS generators, count(DISTINCT CASE WHEN status = 'running' THEN generator_id END) AS running, round(avg(fuel_level_l), 4) AS mean_fuel, round(avg(overall_sensor_health), 4) AS mean_health, count(*) FILTER (maintenance_priority IN ('Medium', 'High', 'Critical')) AS alerts, count(*) AS n_rows, count(DISTINCT generator_id) - count(DISTINCT CASE WHEN status = 'running' THEN generator_id END) AS stopped FROM H")
 HEALTH_HISTOGRAM = _with(_H, "SELECT least(floor(overall_sensor_health / 5), 19)::INT AS bin, count(*) AS n FROM H GROUP BY ALL")
 FUEL_PAGE = _with(_I, "SELECT generator_id, round(avg(fuel_level_l), 4) AS mean_fuel, round(min(fuel_level_l) FILTER (fuel_level_l >= 0), 4) AS least_fuel, round(max(fuel_level_l), 4) AS most_fuel, round(avg(fuel_rate_lps * 3600) FILTER (status = 'running'), 4) AS running_rate, count(*) FILTER (fuel_invalid) AS n_fuel_invalid, count(*) FILTER (fuel_outlier) AS n_fuel_outlier, count(*) FILTER (fuel_imputed) AS n_fuel_imputed FROM I GROUP BY generator_id")
