@@ -26,22 +26,25 @@ from .common import only
 SPACE = "\t-\r \x85\xa0  -     　"
 #: A text falls into these chunks, and no match of the tokenizer's pattern crosses a chunk.
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: Words of one recursive query; longest word in bytes that it takes; chunks remembered; text encoded at once.
-QUERY_WORDS, LONGEST, CHUNKS, BATCH_CHARS = 20_000, 256, 250_000, 2_000_000
+#: Words of one recursive query; longest word in bytes that it takes; chunks and words remembered; text encoded at once.
+QUERY_WORDS, LONGEST, CHUNKS, BATCH_CHARS = 100_000, 256, 600_000, 4_000_000
 
 CONTRACT = """
-WITH RECURSIVE step(word, pos, tok, round) AS (
-    SELECT word, pos, tok, 0 FROM letters
+WITH RECURSIVE step(word, pos, tok, next_pos, place, merged, round) AS (
+    SELECT l.word, l.pos, l.tok, l.next_pos, m.merged::BIGINT * 65536 + l.pos, m.merged, 0
+    FROM (SELECT *, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS next_pos FROM letters WINDOW w AS (PARTITION BY word ORDER BY pos)) l
+    LEFT JOIN merges m ON m.first = l.tok AND m.second = l.next_tok
     UNION ALL
-    SELECT word, pos, CASE WHEN place = best THEN merged ELSE tok END, round + 1
+    SELECT n.word, n.pos, n.tok, n.next_pos, m.merged::BIGINT * 65536 + n.pos, m.merged, n.round
     FROM (
-        SELECT *, min(place) OVER (PARTITION BY word) AS best, lag(place) OVER (PARTITION BY word ORDER BY pos) AS before
+        SELECT k.*, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS next_pos
         FROM (
-            SELECT p.*, m.merged, m.merged::BIGINT * 65536 + p.pos AS place
-            FROM (SELECT *, lead(tok) OVER (PARTITION BY word ORDER BY pos) AS following FROM step) p
-            LEFT JOIN merges m ON m.first = p.tok AND m.second = p.following))
-    WHERE best IS NOT NULL AND before IS DISTINCT FROM best)
-SELECT word, tok FROM step QUALIFY round = max(round) OVER (PARTITION BY word) ORDER BY word, pos
+            SELECT s.word, s.pos, CASE WHEN s.place = b.best THEN s.merged ELSE s.tok END AS tok, s.round + 1 AS round
+            FROM step s JOIN (SELECT word, min(place) AS best, arg_min(next_pos, place) AS gone FROM step WHERE place IS NOT NULL GROUP BY word) b ON s.word = b.word
+            WHERE s.pos <> b.gone) k
+        WINDOW w AS (PARTITION BY word ORDER BY pos)) n
+    LEFT JOIN merges m ON m.first = n.tok AND m.second = n.next_tok)
+SELECT s.word, s.tok FROM step s JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) l ON s.word = l.word AND s.round = l.round ORDER BY s.word, s.pos
 """
 DECODE = "SELECT string_agg(v.hex, '' ORDER BY i.pos) AS hex FROM ids i JOIN vocabulary v ON v.tok = i.tok GROUP BY i.doc ORDER BY i.doc"
 
@@ -72,7 +75,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         import duckdb
 
-        self.ranks, self.pattern, self.known = read_ranks(path), word_pattern(pattern), {}
+        self.ranks, self.pattern, self.known, self.pieces = read_ranks(path), word_pattern(pattern), {}, {}
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
         pairs = [(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         merges = pd.DataFrame(pairs, columns=["first", "second", "merged"], dtype="int32")  # noqa: F841  read by name
@@ -106,12 +109,12 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [CHUNK.findall(t) for t in texts]
-        if len(self.known) > CHUNKS:
-            self.known = {}
-        known = self.known
+        if len(self.known) + len(self.pieces) > CHUNKS:
+            self.known, self.pieces = {}, {}
+        known, ids = self.known, self.pieces
         new = {c for chunks in split for c in chunks if c not in known}
         pieces = {c: [p.encode("utf-8", "replace") for p in self.pattern.findall(c)] for c in new}
-        ids = self.words(list({p for ps in pieces.values() for p in ps}))
+        ids.update(self.words(list({p for ps in pieces.values() for p in ps if p not in ids})))
         for c, ps in pieces.items():
             known[c] = b"".join([ids[p] for p in ps])
         return [np.frombuffer(b"".join([known[c] for c in chunks]), dtype="<u4") for chunks in split]
