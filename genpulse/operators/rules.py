@@ -192,7 +192,7 @@ def sensor_score(df: DataFrame, drift: float = 8.0) -> DataFrame:
     """One score a row from all its issues, with drift from an hourly mean, category and reason."""
     frame = series().rowsBetween(-59, 0)
     mean = F.when(F.count("fuel_level_l").over(frame) >= 20, F.avg("fuel_level_l").over(frame))
-    out = df.withColumn("sensor_drift", flag(F.abs(F.col("fuel_level_l") - mean) > drift))
+    out = df.withColumn("sensor_drift", flag(F.round(F.abs(F.col("fuel_level_l") - mean), 9) > drift))
     confidence = F.coalesce("imputation_confidence", F.lit(100.0))
     lost = sum(flag(F.col(name)).cast("int") * points for name, (points, _) in HEALTH_ISSUES.items())
     lost = lost + F.when(confidence < 30, 20).when(confidence < 60, 10).when(confidence < 80, 5).otherwise(0) + 10 * F.col("sensor_drift").cast("int")

@@ -240,7 +240,7 @@ def sensor_health(spark, sf_dir):
     return healthy(spark, sf_dir).select("row_id", *[f"{c}_sensor_health" for c in ("fuel", "current", "battery", "status")], "overall_sensor_health", "maintenance_priority", "maintenance_reason", "recommended_action")
 
 
-@query()
+@query(sql.HEALTH_SCORE)
 def sensor_health_score(spark, sf_dir):
     return rules.sensor_score(completed(spark, sf_dir)).select("row_id", "sensor_drift", "sensor_health_score", "sensor_health", "sensor_health_reason")
 
