@@ -254,8 +254,8 @@ CASE maintenance_priority WHEN 'None' THEN 'No action required' WHEN 'Low' THEN
 _ISSUES = [("fuel_invalid", 30, "Invalid fuel value"), ("fuel_outlier", 15, "Fuel outlier"), ("current_invalid", 25, "Invalid current"), ("current_outlier", 10, "Current outlier"), ("battery_invalid", 20, "Invalid battery voltage"), ("battery_current_mismatch", 15, "Battery/current mismatch"), ("state_sensor_mismatch", 15, "Status conflicts with sensors"), ("fuel_imputed", 5, "Fuel imputed"), ("current_imputed", 5, "Current imputed"), ("battery_imputed", 5, "Battery imputed"), ("status_imputed", 5, "Status imputed")]
 HEALTH_SCORE = _with(_I + f""",
 d0 AS (SELECT *, coalesce(round(abs(fuel_level_l - CASE WHEN count(fuel_level_l) OVER w >= 20 THEN avg(fuel_level_l) OVER w END), 9) > 8, false) AS sensor_drift FROM I WINDOW w AS (PARTITION BY generator_id ORDER BY timestamp, row_id ROWS 59 PRECEDING)),
-d1 AS (SELECT *, greatest(0, 100.0::DOUBLE {" ".join(f"- {p} * {c}::INT" for c, p, _ in _ISSUES)} - CASE WHEN imputation_confidence < 30 THEN 20 WHEN imputation_confidence < 60 THEN 10 WHEN imputation_confidence < 80 THEN 5 ELSE 0 END - 10 * sensor_drift::INT) AS score,
-       concat_ws('; ', {", ".join(f"CASE WHEN {c} THEN '{text}' END" for c, _, text in _ISSUES)}, CASE WHEN imputation_confidence < 30 THEN 'Very low imputation confidence' WHEN imputation_confidence < 60 THEN 'Low imputation confidence' WHEN imputation_confidence < 80 THEN 'Moderate imputation confidence' END, CASE WHEN sensor_drift THEN 'Sensor drift detected' END) AS says FROM d0)""", """SELECT row_id, sensor_drift, score AS sensor_health_score, CASE WHEN score >= 95 THEN 'Excellent' WHEN score >= 85 THEN 'Good' WHEN score >= 70 THEN 'Fair' WHEN score >= 50 THEN 'Poor' ELSE 'Critical' END AS sensor_health, CASE WHEN says = '' THEN 'Healthy telemetry' ELSE says END AS sensor_health_reason FROM d1""")
+d1 AS (SELECT *, greatest(0, 100.0::DOUBLE {" ".join(f"- {p} * {c}::INT" for c, p, _ in _ISSUES)} - CASE WHEN imputation_confidence < 30 THEN 20 WHEN imputation_confidence < 60 THEN 10 WHEN imputation_confidence < 80 THEN 5 ELSE 0 END - 10 * sensor_drift::INT) AS total,
+       concat_ws('; ', {", ".join(f"CASE WHEN {c} THEN '{text}' END" for c, _, text in _ISSUES)}, CASE WHEN imputation_confidence < 30 THEN 'Very low imputation confidence' WHEN imputation_confidence < 60 THEN 'Low imputation confidence' WHEN imputation_confidence < 80 THEN 'Moderate imputation confidence' END, CASE WHEN sensor_drift THEN 'Sensor drift detected' END) AS issues FROM d0)""", """SELECT row_id, sensor_drift, total AS sensor_health_score, CASE WHEN total >= 95 THEN 'Excellent' WHEN total >= 85 THEN 'Good' WHEN total >= 70 THEN 'Fair' WHEN total >= 50 THEN 'Poor' ELSE 'Critical' END AS sensor_health, CASE WHEN issues = '' THEN 'Healthy telemetry' ELSE issues END AS sensor_health_reason FROM d1""")
 ANOMALIES = _with(_A, """SELECT row_id, fuel_theft, refueling, fuel_stuck, current_spike, current_zero_running, battery_low, battery_spike, battery_unstable, state_anomaly, telemetry_anomaly, fuel_spike, overall_anomaly_score, anomaly_flag, anomaly_severity,
 CASE WHEN len(found) = 0 THEN 'No anomaly detected' ELSE array_to_string(found, '; ') END AS anomaly_reason, CASE WHEN len(acts) = 0 THEN 'No action required' ELSE array_to_string(acts, '; ') END AS anomaly_action, state_anomaly_reason, telemetry_severity FROM A""")
 ANOMALY_SUMMARY = _with(_A, "SELECT generator_id, count(*) AS n_rows, count(*) FILTER (anomaly_flag) AS n_anomalies, round(avg(overall_anomaly_score), 4) AS mean_score, max(overall_anomaly_score) AS worst_score FROM A GROUP BY generator_id")
