@@ -161,3 +161,38 @@ def test_equal_lines_are_always_found(docs):
 def test_fuzzy_lines_of_repeats_and_nulls(repeated, empty):
     assert line_dedup.line_dedup(repeated).count() == 5
     assert line_dedup.line_dedup(empty).count() == 0
+
+
+def edits(x, y):
+    row = list(range(len(y) + 1))
+    for i, c in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, d in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+    return row[-1]
+
+
+@pytest.mark.parametrize("n", [6, 10, 16, 30])
+@pytest.mark.parametrize("kind", ["letter", "word"])
+def test_fuzzy_lines_against_brute_force(spark, n, kind):
+    rng = np.random.default_rng(n)
+    word = lambda: "".join(rng.choice(list("abcdeghilmnorstu"), rng.integers(3, 9)))
+    rows, want = [], 0
+    for k in range(150):
+        line = [word() for _ in range(n)]
+        changed, at = list(line), rng.integers(n)
+        changed[at] = word() if kind == "word" else "q" + changed[at][1:]
+        x, y = " ".join(line), " ".join(changed)
+        want += 100 * edits(x, y) <= 15 * max(len(x), len(y))
+        rows += [(2 * k, x), (2 * k + 1, y)]
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).agg({"n_removed": "sum"}).first()[0]
+    assert 0.97 * want <= got <= want and want > 20
+
+
+def test_a_crowded_cell_is_compared_in_full(spark):
+    from genpulse.llm.components import pairs_across
+    from pyspark.sql import functions as F
+
+    rows = spark.range(700).selectExpr("1L AS cell", "id AS node", "10 AS size", "if(id < 400, 0L, id) AS component")
+    got = pairs_across(rows, ["cell"], "size", lambda x, y: F.lit(True))
+    assert got.count() == 700 * 699 // 2 - 400 * 399 // 2
