@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 #: Weak parts: identifiers of an account, loose random strings, endpoints.
 NAMED = re.compile(r"""\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20{0,8}[:=]\x20{0,8}["']?([A-Za-z0-9][A-Za-z0-9_.@-]{2,63})""", re.I | re.A)
-LOOSE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])")
+LOOSE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 ENDPOINT = re.compile(r"\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3|ssh)://[A-Za-z0-9._~:/?#@!$&'()*+,;=%-]{3,512}", re.A)
 _KEYWORD = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
 _NAMED_WORD = re.compile(r"user|login|account|client|access", re.I | re.A)
@@ -67,6 +68,12 @@ def weak_parts(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
         s = m[0]
         if re.search("[0-9]", s) and re.search("[a-z]", s) and re.search("[A-Z]", s) and _entropy(s) >= ENTROPY:
             found.append((m.start(), m.end(), "secret"))
+    # a value within an endpoint is a part of its own, and the endpoint ends before it
+    values = [s for s, _, part in found if part == "identifier" or part == "secret" and text[s] != "/" and text[max(0, s - 1) : s] in ("=", ":")]
+    values.sort()
+    for k, (s, e, part) in enumerate(found):
+        if part == "endpoint" and (v := bisect_right(values, s)) < len(values) and values[v] < e:
+            found[k] = (s, values[v], part)
     taken, out, b = sorted(base), [], 0
     reached = -1
     for s, e, part in sorted(found):

@@ -226,3 +226,18 @@ def test_weak_parts_need_a_complement(spark, repeated, empty):
     assert [got[i].n_linked for i in range(6)] == [2, 0, 0, 2, 0, 0]
     assert got[0].spans == "identifier:0:17,secret:23:43" and got[5].n_assign == 1
     assert secrets.find_secrets(repeated).count() == 5 and secrets.find_secrets(empty).count() == 0
+
+
+def test_weak_parts_in_environment_files_and_long_tokens(spark):
+    loose = "Zx9Kq2Lw8Vb4Nm6Ty1Rp"
+    rows = [(0, f"username=alice1 pwd={loose}"), (1, f"username = alice1 {loose * 25}"), (2, f"https://h.example.com/x?sig={loose}&v=1"), (3, f"postgres://u:{loose}@h/db"), (4, f"pwd={loose}"), (5, f"user=alice1 x={loose}==")]
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {
+        0: "identifier:0:15,secret:20:40",
+        1: "identifier:0:17,secret:18:518",
+        2: "endpoint:0:28,secret:28:48",
+        3: "endpoint:0:13,secret:13:33",
+        4: "",
+        5: "identifier:0:11,secret:14:36",
+    }
+    secrets.weak_parts("a=" * 100_000 + "aB3" * 300_000 + "=" * 100_000, [])
