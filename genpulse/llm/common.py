@@ -49,9 +49,28 @@ def small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
 
-def without_rejected(documents: DataFrame, judged: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """documents, all columns, less those whose rows in judged (doc_id, kept) are none of them kept.
-    Rows that share an identifier, null included, share their fate."""
-    fate = judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
-    rejected = stored(fate.where("NOT kept").select(F.col("doc_id").alias("_rejected")), "rejected")
-    return documents.join(small(rejected), documents[id_col].eqNullSafe(F.col("_rejected")), "left_anti")
+def row_keys(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """documents with a number _key that only rows of the same identifier and text share: the
+    identifier, but where rows of one identifier differ in text, all texts but one have numbers
+    above all identifiers (these are below 2**61), and texts of null identifiers above those."""
+    rows = documents.withColumn("_hash", F.xxhash64(text_col))
+    mixed = rows.groupBy(F.col(id_col).alias("_mixed")).agg(F.min("_hash").alias("_own"), F.max("_hash").alias("_last"))
+    mixed = stored(mixed.where("_mixed IS NOT NULL AND _own <> _last").drop("_last"), "mixed-ids")
+    above = lambda n: F.shiftrightunsigned("_hash", 64 - n) + F.lit(1 << n)
+    rows = rows.join(small(mixed), F.col(id_col) == F.col("_mixed"), "left")
+    key = F.when(F.col(id_col).isNull(), above(62)).when(F.col("_own") != F.col("_hash"), above(61)).otherwise(F.col(id_col).cast("long"))
+    return rows.withColumn("_key", key).drop("_hash", "_mixed", "_own")
+
+
+def without_rejected(documents: DataFrame, judged: DataFrame, keys: list[str], one: bool = False) -> DataFrame:
+    """documents less those whose keys have rows in judged (keys, kept) that are none of them kept.
+    one: of rows that share their keys, one stays."""
+    fate = judged.groupBy(*keys).agg(F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_n"))
+    marked = fate.where("NOT _kept OR _n > 1" if one else "NOT _kept")
+    marked = stored(marked.select(*[F.col(k).alias(f"_of{k}") for k in keys], "_kept"), "rejected")
+    same = [F.col(k).eqNullSafe(F.col(f"_of{k}")) for k in keys]
+    if not one or not marked.where("_kept").limit(1).count():
+        return documents.join(small(marked.where("NOT _kept")), same, "left_anti")
+    left = documents.join(small(marked), same, "left")
+    once = left.where("_kept").dropDuplicates(keys)
+    return left.where("_kept IS NULL").unionByName(once).select(*documents.columns)

@@ -68,4 +68,6 @@ def exact_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def one_of_equals(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
     """documents, all columns, with one document of each group of identical texts."""
-    return without_rejected(documents, exact_groups(documents, id_col, text_col, keep), id_col)
+    keyed = documents.withColumns({"_id": F.col(id_col), "_digest": F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))})
+    judged = exact_groups(documents, id_col, text_col, keep).select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest"), "kept")
+    return without_rejected(keyed, judged, ["_id", "_digest"], one=True).drop("_id", "_digest")

@@ -22,3 +22,23 @@ def test_stages_take_effect(spark, words):
     assert left["pii"] == left["near_dedup"]
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, "")
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(left["pii"])
+
+
+def test_stages_judge_rows_of_repeated_and_null_identifiers(spark, words, repeated):
+    import random
+
+    from genpulse.llm.exact_dedup import one_of_equals
+    from genpulse.llm.near_dedup import one_of_each
+    from genpulse.llm.quality_rules import good_documents
+
+    rng = random.Random(9)
+    good, other, third = (" ".join(rng.choice(words) for _ in range(120)) + "." for _ in range(3))
+    near = good.replace(good.split()[60], "changed", 1)
+    make = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    left = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    ordered = lambda rows: sorted(rows, key=repr)
+    assert left(good_documents(make([(None, good), (None, "bad"), (1, other), (1, "bad"), (2, third)]))) == ordered([(None, good), (1, other), (2, third)])
+    assert left(one_of_equals(make([(1, good), (1, good), (None, other), (None, other), (3, third), (3, good)]))) == ordered([(3, good), (None, other), (3, third)])
+    assert left(one_of_equals(repeated)) in [ordered([(1, "same text"), (2, None)])]
+    got = left(one_of_each(make([(1, good), (1, good), (None, near), (2, other), (2, third), (None, third), (None, None)])))
+    assert got == ordered([(1, good), (2, other), (2, third), (None, None)])
