@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, small, stored
+from .common import only, row_keys, small, stored
 from .induced_sort import common_prefixes, suffix_order
 
 #: Bytes of a string that must not repeat, and of the strings whose least hash is its key.
@@ -32,7 +32,6 @@ _BATCH_BYTES = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LETTERS = np.random.default_rng(5).integers(1, 1 << 63, size=256, dtype=np.uint64)
-_LAST = (1 << 63) - 1
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -248,16 +247,30 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
     the bytes that stay, which may cut a character.
 
     A byte goes if a string of LENGTH bytes covers it that also starts earlier: in a document of
-    smaller doc_id, or before in the same. A null text is empty. A null doc_id counts as the
-    largest. Rows that share an identifier are one document and must share their text; each is
-    judged alike. An empty table gives an empty result; other columns are ignored.
+    smaller doc_id, or before in the same. A null text is empty. Rows that share an identifier and
+    the text are one document, each judged alike; where rows of one identifier differ in text, all
+    texts but one come after all other identifiers. A null doc_id is a document of its own and
+    comes last, in no stated order among its like; of those with the same text one stays. An empty
+    table gives an empty result; other columns are ignored.
     """
-    source = only(documents, id_col, text_col).withColumn("doc", F.coalesce("doc_id", F.lit(_LAST)))
+    source = row_keys(only(documents, id_col, text_col), "doc_id", "text").withColumnRenamed("_key", "doc")
     spans = stored(repeated_starts(source.select("doc", "text")), "repeated-starts")
     by_doc = stored(spans.groupBy("doc").agg(F.collect_list(F.struct("start", "starts")).alias("spans")), "spans-by-document")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     ids = small(by_doc.select("doc"))
     touched = source.join(ids, "doc", "left_semi").join(by_doc, "doc").select("doc_id", "text", "spans")
-    whole = source.join(ids, "doc", "left_anti").select("doc_id", "text", F.lit(None).cast(by_doc.schema["spans"].dataType).alias("spans"))
+    kind = by_doc.schema["spans"].dataType
+    whole = source.join(ids, "doc", "left_anti").select("doc_id", "text", F.lit(None).cast(kind).alias("spans"))
+    # copies under null identifiers go whole, as all their strings start in the first of them
+    copied = stored(source.where("doc_id IS NULL").groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), "null-copies")
+    if copied.limit(1).count():
+        again = F.row_number().over(Window.partitionBy("doc").orderBy("doc")) > 1
+        starts = F.octet_length("text") - LENGTH + 1
+        everything = F.array(F.struct(F.lit(0).alias("start"), starts.alias("starts"))).cast(kind)
+        copies = source.join(small(copied), "doc", "left_semi").join(by_doc, "doc", "left").withColumn("again", again & (starts > 0))
+        copies = copies.select("doc_id", "text", F.when(F.col("again"), everything).otherwise(F.col("spans")).alias("spans"))
+        single = source.join(small(copied), "doc", "left_anti")
+        touched = single.join(ids, "doc", "left_semi").join(by_doc, "doc").select("doc_id", "text", "spans").unionByName(copies)
+        whole = single.join(ids, "doc", "left_anti").select("doc_id", "text", F.lit(None).cast(kind).alias("spans"))
     out = touched.unionByName(whole).mapInPandas(_kept, schema)
     return out if with_kept else out.drop("kept")

@@ -196,3 +196,17 @@ def test_a_crowded_cell_is_compared_in_full(spark):
     rows = spark.range(700).selectExpr("1L AS cell", "id AS node", "10 AS size", "if(id < 400, 0L, id) AS component")
     got = pairs_across(rows, ["cell"], "size", lambda x, y: F.lit(True))
     assert got.count() == 700 * 699 // 2 - 400 * 399 // 2
+
+
+def test_substring_dedup_of_long_texts_under_null_and_shared_identifiers(spark, words):
+    rng = np.random.default_rng(3)
+    prose = lambda: " ".join(rng.choice(words, 60))
+    a, b, c, d, e, passage = (prose() for _ in range(6))
+    rows = [(1, passage), (None, f"{a} {passage}"), (None, b), (None, c), (None, c), (7, d), (7, f"{passage} {e}")]
+    got = {}
+    for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed, r.kept.decode()))
+    assert got[1] == [(len(passage), 0, passage)]
+    assert sorted(x[2] for x in got[None]) == sorted(["", a + " ", b, c]) or sorted(x[2] for x in got[None]) == sorted(["", a, b, c])
+    assert sorted(x[2] for x in got[7]) == sorted([d, " " + e])
+    assert all(0 <= gone <= n for x in got.values() for n, gone, _ in x)
