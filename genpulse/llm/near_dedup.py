@@ -7,16 +7,14 @@ are confirmed on full shingle sets.
 
 Candidates come in two rounds. The first takes sorted neighbours, and confirms each node's best
 candidate only: that unites nearly all groups at linear cost, however large they are. The second
-takes, in every region that still holds several components, the pairs across components, at a
-depth that adapts to the region: the shallowest at which at most CROWD nodes share their hashes.
-A crowd that even whole keys cannot divide offers each node its nearest neighbours of other
-components. Pairs within one component need no test, as they change no result.
+takes, in every region that still holds several components, all pairs across components; a crowded
+region is divided into blocks, and all pairs of blocks are taken. Pairs within one component need
+no test, as they change no result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,14 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import only, row_keys, small, stored, without_rejected
-from .components import components
+from .components import components, pairs_across
 
 #: Words of a shingle; percent of the union that two sets share at least.
 WORDS, PERCENT = 5, 75
 #: Trees, hashes of a tree's key, hashes that a region shares at least.
 TREES, DEPTH, BASE = 20, 8, 4
-#: Sorted neighbours of the first round; nodes of a region whose pairs are all tested; neighbours in larger ones.
-NEIGHBOURS, CROWD, FAR = 3, 64, 8
+#: Sorted neighbours of the first round.
+NEIGHBOURS = 3
 _HASH_BYTES, _SEED = 2, 20_011
 _KNOWN_WORDS, _BATCH_CHARS = 300_000, 400_000
 
@@ -155,23 +153,9 @@ def _neighbours(rows: DataFrame, region: list[str], reach: int, keep: list[str])
 
 
 def _across(shared: DataFrame, placed: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of different components, from every region that holds several."""
+    """All pairs (a, b) of different components and like sizes that share a region."""
     rows = shared.join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    region = Window.partitionBy("tree", "prefix")
-    rows = rows.withColumns({"low": F.min("component").over(region), "high": F.max("component").over(region)}).where("low < high").drop("low", "high")
-    depths = list(range(BASE, DEPTH + 1))
-    for d in depths:
-        rows = rows.withColumn(f"at_{d}", F.substring("key", 1, d * _HASH_BYTES))
-    for d in depths:
-        rows = rows.withColumn(f"n_{d}", F.count(F.lit(1)).over(Window.partitionBy("tree", "prefix", f"at_{d}")))
-    pick = reduce(lambda rest, d: F.when(F.col(f"n_{d}") <= CROWD, F.col(f"at_{d}")).otherwise(rest), reversed(depths), F.lit(None))
-    rows = stored(rows.withColumn("cell", pick).select("tree", "prefix", "cell", "key", "node", "n", "component"), "regions")
-    few = rows.where("cell IS NOT NULL").select("tree", "cell", "node", "n", "component")
-    other = few.select("tree", "cell", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "component")])
-    pairs = few.join(other, ["tree", "cell"]).where("node < o_node AND component <> o_component").where(_like_sized("n", "o_n")).select(F.col("node").alias("a"), F.col("o_node").alias("b"))
-    crowd = _neighbours(rows.where("cell IS NULL"), ["tree", "prefix"], FAR, ["node", "n", "component"])
-    crowd = crowd.where("component_a <> component_b").where(_like_sized("n_a", "n_b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    return pairs.unionByName(crowd).distinct()
+    return pairs_across(rows, ["tree", "prefix"], "n", _like_sized)
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -210,3 +210,21 @@ def test_substring_dedup_of_long_texts_under_null_and_shared_identifiers(spark,
     assert sorted(x[2] for x in got[None]) == sorted(["", a + " ", b, c]) or sorted(x[2] for x in got[None]) == sorted(["", a, b, c])
     assert sorted(x[2] for x in got[7]) == sorted([d, " " + e])
     assert all(0 <= gone <= n for x in got.values() for n, gone, _ in x)
+
+
+def test_near_duplicates_of_a_template_crowd(spark, words):
+    rng = np.random.default_rng(6)
+    template = list(rng.choice(words, 240))
+    texts = []
+    for k in range(160):
+        own = template + list(rng.choice(words, 60))
+        texts += [" ".join(own), " ".join(own[:-24] + [f"v{k}x{j}" for j in range(40)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    truth = brute_components({i: shingles(t) for i, t in enumerate(texts)})
+    assert {i: r.component_id for i, r in by_id(near_dedup.near_duplicates(docs)).items()} == truth
+
+
+def test_a_region_of_equal_keys_is_compared_in_full(spark):
+    rows = spark.range(600).selectExpr("0 AS tree", "1L AS prefix", "X'00' AS key", "id AS node", "100L AS n")
+    placed = spark.range(500).selectExpr("id AS node", "0L AS component")
+    assert near_dedup._across(rows, placed).count() == 600 * 599 // 2 - 500 * 499 // 2
