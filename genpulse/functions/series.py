@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 KEY, TIME, ROW = "generator_id", "timestamp", "row_id"
+#: Readings enter time frames as decimals of this many places, so that running sums lose nothing.
+PLACES = 6
 
 
 def series(key: str = KEY, time: str = TIME, row: str = ROW) -> WindowSpec:
@@ -42,24 +46,44 @@ def clipped(value: Column, low: float = 0.0, high: float = 100.0) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), value))
 
 
-def with_tie_rank(df: DataFrame) -> DataFrame:
-    """df with _at: microseconds, rows of one timestamp told apart by their order, for range frames
-    that end at the current row and not at its last peer."""
-    peers = Window.partitionBy(KEY, TIME).orderBy(ROW)
-    return df.withColumn("_at", micros() + F.row_number().over(peers) - 1)
+def reversed_series(key: str = KEY, time: str = TIME, row: str = ROW) -> WindowSpec:
+    """The mirror of series(): what comes after a row is what comes before it here, so that looking
+    ahead is a running value too and takes time in proportion to the rows."""
+    return Window.partitionBy(key).orderBy(F.desc(time), F.desc(row))
+
+
+def so_far(order: WindowSpec) -> WindowSpec:
+    return order.rowsBetween(Window.unboundedPreceding, 0)
 
 
-def time_frame(seconds: float) -> WindowSpec:
-    """Rows of the last `seconds`, the bound itself excluded; over with_tie_rank(). Timestamps must
-    be whole seconds where they repeat."""
-    return Window.partitionBy(KEY).orderBy("_at").rangeBetween(-(int(seconds * 1_000_000) - 1), 0)
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once however often use mentions it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def rolling(column: str, seconds: float, least: int = 1, how: str = "mean") -> Column:
-    """mean, std (sample) or sum over time_frame, null with fewer than `least` values."""
-    frame = time_frame(seconds)
-    made = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum}[how](column).over(frame)
-    return F.when(F.count(column).over(frame) >= least, made)
+    """mean, std (sample) or sum over the rows of the last `seconds`, the bound itself excluded, up to
+    the row and not to its last peer; null with fewer than `least` values.
+
+    A frame is the difference of two running sums: all up to the row, less all up to the bound. Sums
+    are decimal and exact, so a long series loses no digits; readings are taken to PLACES places,
+    below 10**9, and a frame's sum must stay below 10**12."""
+    upto = so_far(series())
+    past = Window.partitionBy(KEY).orderBy(F.unix_micros(TIME)).rangeBetween(Window.unboundedPreceding, -int(seconds * 1_000_000))
+    x = F.col(column).cast(f"decimal(15,{PLACES})")
+    within = lambda f, v: f(v).over(upto) - F.coalesce(f(v).over(past), F.lit(0))
+    n, total = within(F.count, x), within(F.sum, x)
+    if how == "sum":
+        return F.when(n >= least, total.cast("double"))
+    if how == "mean":
+        return bound(F.struct(n.alias("n"), total.alias("total")), lambda f: F.when((f["n"] >= least) & (f["n"] > 0), f["total"].cast("double") / f["n"]))
+
+    def spread(f: Column) -> Column:
+        few, places = f["n"].cast("decimal(10,0)"), 2 * PLACES
+        squares = few * f["squares"].cast(f"decimal(27,{places})") - f["total"].cast(f"decimal(18,{PLACES})") * f["total"].cast(f"decimal(18,{PLACES})")
+        return F.when((f["n"] >= least) & (f["n"] > 1), F.sqrt(squares.cast("double") / (f["n"] * (f["n"] - 1))))
+
+    return bound(F.struct(n.alias("n"), total.alias("total"), within(F.sum, x * x).alias("squares")), spread)
 
 
 def rolling_rows(column: str, rows: int, how: str = "mean") -> Column:
@@ -69,22 +93,25 @@ def rolling_rows(column: str, rows: int, how: str = "mean") -> Column:
     return F.when(F.count(column).over(frame) == rows, made)
 
 
-def interpolated(column: str, limit: int, order: WindowSpec | None = None) -> Column:
+def interpolated(column: str, limit: int) -> Column:
     """column with nulls filled in line between the nearest values by row position, at most `limit`
     rows from either; before the first and after the last value the nearest is repeated."""
-    order = order or series()
-    place = F.row_number().over(order)
+    place = F.row_number().over(series())
     here = F.when(F.col(column).isNotNull(), F.struct(place.alias("n"), F.col(column).alias("x")))
-    back = F.last(here, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(here, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    near_back, near_ahead = place - back["n"] <= limit, ahead["n"] - place <= limit
-    line = back["x"] + (ahead["x"] - back["x"]) * (place - back["n"]) / (ahead["n"] - back["n"])
-    return (
-        F.when(F.col(column).isNotNull(), F.col(column))
-        .when(back.isNotNull() & ahead.isNotNull(), F.when(near_back | near_ahead, line))
-        .when(back.isNotNull(), F.when(near_back, back["x"]))
-        .when(ahead.isNotNull(), F.when(near_ahead, ahead["x"]))
-    )
+    back, ahead = (F.last(here, ignorenulls=True).over(so_far(order)) for order in (series(), reversed_series()))
+
+    def filled(row: Column) -> Column:
+        back, ahead, place = row["back"], row["ahead"], row["place"]
+        near_back, near_ahead = place - back["n"] <= limit, ahead["n"] - place <= limit
+        line = back["x"] + (ahead["x"] - back["x"]) * (place - back["n"]) / (ahead["n"] - back["n"])
+        return (
+            F.when(back.isNotNull() & ahead.isNotNull(), F.when(near_back | near_ahead, line))
+            .when(back.isNotNull(), F.when(near_back, back["x"]))
+            .when(ahead.isNotNull(), F.when(near_ahead, ahead["x"]))
+        )
+
+    around = F.struct(back.alias("back"), ahead.alias("ahead"), place.alias("place"))
+    return F.when(F.col(column).isNotNull(), F.col(column)).otherwise(bound(around, filled))
 
 
 def cumulative(column: str) -> Column:
@@ -94,8 +121,7 @@ def cumulative(column: str) -> Column:
 
 def filled_both_ways(column: str) -> Column:
     """Last value before, or else the next one after."""
-    w = series()
-    return F.coalesce(F.last(column, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first(column, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    return F.coalesce(*[F.last(column, ignorenulls=True).over(so_far(order)) for order in (series(), reversed_series())])
 
 
 def asof(probes: DataFrame, builds: DataFrame, probe_time: Column, forward: bool, tolerance_seconds: float | None, value: str, as_value: str, as_time: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.series import KEY, asof, change, flag, micros, rolling, rolling_rows, seconds_since_last, with_tie_rank
+from ..functions.series import KEY, asof, change, flag, micros, rolling, rolling_rows, seconds_since_last
 from ..sources.tables import SENSORS
 
 ERROR_BINS = [(10, "<=10"), (25, "10-25"), (50, "25-50"), (100, "50-100"), (250, "100-250"), (500, "250-500"), (None, ">500")]
@@ -43,7 +43,7 @@ def persistence(df: DataFrame) -> DataFrame:
 
 def windowed(df: DataFrame, minutes: tuple[int, ...] = (5, 15, 30, 60), least: int = 3, more: tuple[str, ...] = ()) -> DataFrame:
     """Mean and standard deviation of each sensor over the last minutes, and means of the columns in more."""
-    out, names = with_tie_rank(df), {}
+    names = {}
     for m in minutes:
         for c in SENSORS:
             short = c.split("_")[0]
@@ -51,7 +51,7 @@ def windowed(df: DataFrame, minutes: tuple[int, ...] = (5, 15, 30, 60), least: i
             names[f"{short}_std_{m}min"] = rolling(c, 60 * m, least, "std")
         for c in more:
             names[f"{c}_mean_{m}min"] = rolling(c, 60 * m, least, "mean")
-    return out.withColumns(names).drop("_at")
+    return df.withColumns(names)
 
 
 def changes(df: DataFrame, rows: tuple[int, ...] = (15, 30, 60), refill: float = 50.0) -> DataFrame:

@@ -168,6 +168,13 @@ def rolling_time_features(spark, sf_dir):
     return t.select("row_id", *[F.round(c, 9).alias(c) for c in t.columns if "min" in c and ("_mean_" in c or "_std_" in c)])
 
 
+@query(sql.ROLLING_REPEATS)
+def rolling_with_repeats(spark, sf_dir):
+    """Packets sent twice, on whole seconds: peers after a row stay out of its frame, and so does its bound."""
+    t = src.telemetry_with_repeats(spark, sf_dir).withColumn("timestamp", F.date_trunc("day", "timestamp"))
+    return t.select("row_id", *[F.round(s.rolling("fuel_level_l", 3 * 86_400, 2, how), 6).alias(f"fuel_{how}") for how in ("mean", "std", "sum")])
+
+
 @query(sql.ROW_FEATURES)
 def rolling_row_features(spark, sf_dir):
     t = fc.row_features(src.telemetry(spark, sf_dir), (1, 5), (5,))
