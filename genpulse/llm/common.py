@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +52,26 @@ def small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
 
+def whole_groups(frames: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """Each group of equal `by` as one frame, from frames that come sorted by it. Holds one group and one frame."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        if not len(frame):
+            continue
+        held.append(frame)
+        if len(held) > 1 and all(held[0][c].iloc[0] == frame[c].iloc[-1] for c in by):
+            continue
+        rows = pd.concat(held, ignore_index=True) if len(held) > 1 else frame
+        keys = [rows[c].to_numpy() for c in by]
+        cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        starts = [0, *cuts.tolist()]
+        for s, e in zip(starts, starts[1:]):
+            yield rows.iloc[s:e]
+        held = [rows.iloc[starts[-1] :]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def row_keys(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """documents with a number _key that only rows of the same identifier and text share: the
     identifier, but where rows of one identifier differ in text, all texts but one have numbers

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 #: Nodes of a cell that are paired in one block.
-BLOCK = 256
+BLOCK = 512
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -55,20 +55,23 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 100)
 
 
 def in_blocks(rows: DataFrame, cell: list[str]) -> DataFrame:
-    """rows of cells that hold several components, with own block and each pair of blocks (low, high)
-    that it takes part in: every two rows of a cell meet in one pair of blocks at least."""
-    whole = Window.partitionBy(*cell)
-    rows = rows.withColumns({"_n": F.count(F.lit(1)).over(whole), "_least": F.min("component").over(whole), "_most": F.max("component").over(whole)})
-    rows = rows.where("_least < _most").withColumn("_blocks", F.ceil(F.col("_n") / BLOCK).cast("int"))
+    """rows (cell, node, component, ...) of cells that hold several components, under a number `cell`
+    that cells of the same members share and are taken once for, with own block and each pair of
+    blocks (low, high) that it takes part in: every two rows of a cell meet in one pair of blocks at least."""
+    cells = rows.groupBy(*cell).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("component").alias("_least"), F.max("component").alias("_most"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_members")
+    )
+    cells = cells.where("_least < _most").select(*cell, F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"), F.xxhash64("_members", "_n").alias("_cell"))
+    rows = rows.join(cells, cell).drop(*cell).withColumnRenamed("_cell", "cell").dropDuplicates(["cell", "node"])
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    return rows.withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}).drop("_n", "_least", "_most", "_blocks", "_other")
+    return rows.withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}).drop("_blocks", "_other")
 
 
 def pairs_across(rows: DataFrame, cell: list[str], size: str, alike: Callable[[str, str], Column]) -> DataFrame:
     """All pairs (a, b) of nodes of different components that share a cell and whose sizes are
     alike. A large cell is divided into blocks and all pairs of blocks, and none of its pairs is left out."""
     rows = stored(in_blocks(rows.select(*cell, "node", size, "component"), cell), "blocks")
-    other = rows.select(*cell, "low", "high", *[F.col(c).alias(f"o_{c}") for c in ("node", size, "component", "block")])
-    met = rows.join(other, [*cell, "low", "high"]).where("node < o_node AND component <> o_component AND (low = high OR block <> o_block)")
+    other = rows.select("cell", "low", "high", *[F.col(c).alias(f"o_{c}") for c in ("node", size, "component", "block")])
+    met = rows.join(other, ["cell", "low", "high"]).where("node < o_node AND component <> o_component AND (low = high OR block <> o_block)")
     return met.where(alike(size, f"o_{size}")).select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()

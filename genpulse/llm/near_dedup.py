@@ -7,9 +7,10 @@ are confirmed on full shingle sets.
 
 Candidates come in two rounds. The first takes sorted neighbours, and confirms each node's best
 candidate only: that unites nearly all groups at linear cost, however large they are. The second
-takes, in every region that still holds several components, all pairs across components; a crowded
-region is divided into blocks, and all pairs of blocks are taken. Pairs within one component need
-no test, as they change no result.
+compares, in every region that still holds several components, all nodes across components. A
+crowded region is divided into blocks, and each pair of blocks is a small task of its own that
+takes both blocks' sets and hands out only links that unite components: no table of pairs is made.
+Pairs within one component need no test, as they change no result.
 """
 
 from __future__ import annotations
@@ -21,15 +22,18 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, row_keys, small, stored, without_rejected
-from .components import components, pairs_across
+from .common import only, row_keys, small, stored, whole_groups, without_rejected
+from .components import components, in_blocks
 
 #: Words of a shingle; percent of the union that two sets share at least.
 WORDS, PERCENT = 5, 75
 #: Trees, hashes of a tree's key, hashes that a region shares at least.
 TREES, DEPTH, BASE = 20, 8, 4
-#: Sorted neighbours of the first round.
-NEIGHBOURS = 3
+#: Sorted neighbours of the first round; rows of a region that are sorted in one task there.
+NEIGHBOURS, SORTED_ROWS = 3, 4096
+#: Hashes of two signatures that agree at least before full sets are compared. At a similarity of 0.75
+#: 120 of 160 are expected, and fewer than 100 agree with probability 0.0002.
+AGREE = 100
 _HASH_BYTES, _SEED = 2, 20_011
 _KNOWN_WORDS, _BATCH_CHARS = 300_000, 400_000
 
@@ -152,10 +156,55 @@ def _neighbours(rows: DataFrame, region: list[str], reach: int, keep: list[str])
     return near.where("node <> o.node").select(*cols)
 
 
-def _across(shared: DataFrame, placed: DataFrame) -> DataFrame:
-    """All pairs (a, b) of different components and like sizes that share a region."""
-    rows = shared.join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return pairs_across(rows, ["tree", "prefix"], "n", _like_sized)
+def _links_of(blocks: np.ndarray, parts: np.ndarray, sets: list[np.ndarray], signatures: np.ndarray, across: bool) -> list[tuple[int, int]]:
+    """Pairs of rows whose sets share at least PERCENT of their union, as many as unite what can be
+    united: rows of one part are united before. across: only pairs of different blocks."""
+    size = np.array([len(s) for s in sets])
+    i, j = np.triu_indices(len(sets), 1)
+    wanted = (parts[i] != parts[j]) & (100 * np.minimum(size[i], size[j]) >= PERCENT * np.maximum(size[i], size[j]))
+    if across:
+        wanted &= blocks[i] != blocks[j]
+    i, j = i[wanted], j[wanted]
+    agree = np.concatenate([(signatures[i[k : k + 20_000]] == signatures[j[k : k + 20_000]]).sum(axis=1) for k in range(0, len(i), 20_000)] or [np.empty(0, np.int64)])
+    order = np.argsort(-agree, kind="stable")[: int((agree >= AGREE).sum())]
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    out = []
+    for x, y in zip(i[order].tolist(), j[order].tolist()):
+        p, q = find(int(parts[x])), find(int(parts[y]))
+        if p == q:
+            continue
+        shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        if 100 * shared >= PERCENT * (int(size[x] + size[y]) - shared):
+            out.append((x, y))
+            root[p] = q
+    return out
+
+
+def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links (a, b) within each pair of blocks, from rows sorted by it."""
+    for group in whole_groups(frames, ["cell", "low", "high"]):
+        sets = [np.asarray(s, dtype=np.int64) for s in group["shingles"]]
+        signatures = np.frombuffer(b"".join(group["signature"]), dtype=np.uint16).reshape(len(sets), -1)
+        node = group["node"].to_numpy()
+        found = _links_of(group["block"].to_numpy(), group["component"].to_numpy(), sets, signatures, group["low"].iloc[0] != group["high"].iloc[0])
+        if found:
+            x, y = np.array(found).T
+            yield pd.DataFrame({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y])})
+
+
+def _across(shared: DataFrame, placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components among the nodes of each region."""
+    rows = shared.select("tree", "prefix", "node").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = in_blocks(rows, ["tree", "prefix"]).join(sets, "node")
+    by = ["cell", "low", "high"]
+    return rows.repartition(*by).sortWithinPartitions(*by).mapInPandas(_verified, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,12 +226,16 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     width = DEPTH * _HASH_BYTES
     keys = F.array(*[F.substring("signature", 1 + t * width, width) for t in range(TREES)])
     trees = leaf.select("node", "n", F.posexplode(keys).alias("tree", "key")).withColumn("prefix", F.xxhash64(F.substring("key", 1, BASE * _HASH_BYTES)))
-    members = F.count(F.lit(1)).over(Window.partitionBy("tree", "prefix"))
-    shared = stored(trees.withColumn("members", members).where("members > 1").drop("members"), "forest")
-    sets = stored(_sets_of(source, shared.select("node").distinct()), "shingle-sets")
+    regions = trees.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = trees.join(regions, ["tree", "prefix"])
+    # a crowded region is sorted in several parts, which the second round brings together
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / SORTED_ROWS))
+    shared = stored(shared.withColumn("part", part.cast("int")).drop("members"), "forest")
+    sets = _sets_of(source, shared.select("node").distinct())
+    sets = stored(sets.join(leaf.select("node", "signature"), "node"), "shingle-sets")
 
     # first round: each node's candidate that most orders put beside it
-    near = _neighbours(shared, ["tree", "prefix"], NEIGHBOURS, ["node", "n"]).where(_like_sized("n_a", "n_b"))
+    near = _neighbours(shared, ["tree", "prefix", "part"], NEIGHBOURS, ["node", "n"]).where(_like_sized("n_a", "n_b"))
     near = near.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count(F.lit(1)).alias("orders"))
     near = stored(near, "neighbours")
     ends = near.select("a", "b", "orders", F.explode(F.array("a", "b")).alias("end"))
@@ -192,8 +245,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     placed = stored(components(links), "first-components")
 
     # second round: what regions hold across components
-    second = _across(shared, placed).join(first, ["a", "b"], "left_anti")
-    more = stored(_confirmed(stored(second, "second-pairs"), sets), "second-links")
+    more = stored(_across(shared, placed, sets), "second-links")
     if more.limit(1).count():
         placed = stored(components(links.unionByName(more)), "components")
 
