@@ -172,7 +172,7 @@ def rolling_time_features(spark, sf_dir):
 def rolling_with_repeats(spark, sf_dir):
     """Packets sent twice, on whole seconds: peers after a row stay out of its frame, and so does its bound."""
     t = src.telemetry_with_repeats(spark, sf_dir).withColumn("timestamp", F.date_trunc("day", "timestamp"))
-    return t.select("row_id", *[F.round(s.rolling("fuel_level_l", 3 * 86_400, 2, how), 6).alias(f"fuel_{how}") for how in ("mean", "std", "sum")])
+    return t.select("row_id", *[F.round(s.rolling("fuel_level_l", 3 * 86_400, 2, how), 9).alias(f"fuel_{how}") for how in ("mean", "std", "sum")])
 
 
 @query(sql.ROW_FEATURES)

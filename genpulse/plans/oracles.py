@@ -221,8 +221,8 @@ def _rolling() -> str:
 
 
 ROLLING = _with("", _rolling())
-ROLLING_REPEATS = _with(", P AS (SELECT row_id, generator_id, epoch_us(date_trunc('day', timestamp)) AS d, fuel_level_l FROM R)", """SELECT a.row_id, round(CASE WHEN count(b.fuel_level_l) >= 2 THEN avg(b.fuel_level_l) END, 6) AS fuel_mean,
-round(CASE WHEN count(b.fuel_level_l) >= 2 THEN stddev_samp(b.fuel_level_l) END, 6) AS fuel_std, round(CASE WHEN count(b.fuel_level_l) >= 2 THEN sum(b.fuel_level_l) END, 6) AS fuel_sum
+ROLLING_REPEATS = _with(", P AS (SELECT row_id, generator_id, epoch_us(date_trunc('day', timestamp)) AS d, fuel_level_l FROM R)", """SELECT a.row_id, round(CASE WHEN count(b.fuel_level_l) >= 2 THEN avg(b.fuel_level_l) END, 9) AS fuel_mean,
+round(CASE WHEN count(b.fuel_level_l) >= 2 THEN stddev_samp(b.fuel_level_l) END, 9) AS fuel_std, round(CASE WHEN count(b.fuel_level_l) >= 2 THEN sum(b.fuel_level_l) END, 9) AS fuel_sum
 FROM P a JOIN P b ON a.generator_id = b.generator_id AND b.d > a.d - 259200000000 AND (b.d < a.d OR b.d = a.d AND b.row_id <= a.row_id) GROUP BY a.row_id""")
 ROW_FEATURES = _with("", "SELECT row_id, " + ", ".join(f"round(lag({c}, {n}) OVER w, 4) AS {c}_lag_{n}" for c in ("fuel_level_l", "current", "battery_voltage") for n in (1, 5)) + ", " + ", ".join(f"round(CASE WHEN count(fuel_level_l) OVER r = 5 THEN {f}(fuel_level_l) OVER r END, 4) AS fuel_{how}_5rows" for how, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))) + " FROM T WINDOW w AS (PARTITION BY generator_id ORDER BY timestamp, row_id), r AS (PARTITION BY generator_id ORDER BY timestamp, row_id ROWS 4 PRECEDING)")
 CHANGES = _with(", ch AS (SELECT row_id, " + ", ".join(f"fuel_level_l - lag(fuel_level_l, {n}) OVER w AS c{n}" for n in (15, 30, 60)) + " FROM T WINDOW w AS (PARTITION BY generator_id ORDER BY timestamp, row_id))", "SELECT row_id, round(c15, 4) AS fuel_change_15, round(c30, 4) AS fuel_change_30, round(c60, 4) AS fuel_change_60, coalesce(c60 > 50, false)::INT AS refill_signal, coalesce(c60 < -50, false)::INT AS drop_signal FROM ch")
