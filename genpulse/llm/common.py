@@ -47,6 +47,14 @@ def only(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that df does not have, whatever its case."""
+    taken, name = {c.lower() for c in df.columns}, f"_{stem}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def small(ids: DataFrame) -> DataFrame:
     """ids, to be broadcast if they are few enough."""
     return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids

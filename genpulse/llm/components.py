@@ -1,10 +1,11 @@
-"""Connected components of a table of links, and candidate pairs across components."""
+"""Connected components of a table of links, and the blocks in which candidates meet."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -54,24 +55,38 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 100)
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(roots)
 
 
-def in_blocks(rows: DataFrame, cell: list[str]) -> DataFrame:
-    """rows (cell, node, component, ...) of cells that hold several components, under a number `cell`
-    that cells of the same members share and are taken once for, with own block and each pair of
-    blocks (low, high) that it takes part in: every two rows of a cell meet in one pair of blocks at least."""
+def in_blocks(rows: DataFrame, cell: list[str], within: bool = False) -> DataFrame:
+    """rows (cell, node, component) of cells that hold several components, under a number `cell` that
+    cells of the same members share and are taken once for, with own block and each pair of blocks
+    (low, high) that it takes part in: every two rows of a cell meet in one pair of blocks at least.
+    within: only the pair of its own block with itself."""
     cells = rows.groupBy(*cell).agg(
         F.count(F.lit(1)).alias("_n"), F.min("component").alias("_least"), F.max("component").alias("_most"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_members")
     )
     cells = cells.where("_least < _most").select(*cell, F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"), F.xxhash64("_members", "_n").alias("_cell"))
     rows = rows.join(cells, cell).drop(*cell).withColumnRenamed("_cell", "cell").dropDuplicates(["cell", "node"])
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    if within:
+        return rows.withColumns({"low": F.col("block"), "high": F.col("block")}).drop("_blocks")
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     return rows.withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}).drop("_blocks", "_other")
 
 
-def pairs_across(rows: DataFrame, cell: list[str], size: str, alike: Callable[[str, str], Column]) -> DataFrame:
-    """All pairs (a, b) of nodes of different components that share a cell and whose sizes are
-    alike. A large cell is divided into blocks and all pairs of blocks, and none of its pairs is left out."""
-    rows = stored(in_blocks(rows.select(*cell, "node", size, "component"), cell), "blocks")
-    other = rows.select("cell", "low", "high", *[F.col(c).alias(f"o_{c}") for c in ("node", size, "component", "block")])
-    met = rows.join(other, ["cell", "low", "high"]).where("node < o_node AND component <> o_component AND (low = high OR block <> o_block)")
-    return met.where(alike(size, f"o_{size}")).select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()
+def united(parts: np.ndarray, pairs: Iterable[tuple[int, int, Callable[[], bool]]]) -> list[tuple[int, int]]:
+    """The pairs (x, y) of rows that are linked and unite parts. A pair's test runs only where its
+    rows are not united yet."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    out = []
+    for x, y, linked in pairs:
+        p, q = find(int(parts[x])), find(int(parts[y]))
+        if p != q and linked():
+            out.append((x, y))
+            root[p] = q
+    return out

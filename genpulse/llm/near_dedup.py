@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import only, row_keys, small, stored, whole_groups, without_rejected
-from .components import components, in_blocks
+from .components import components, in_blocks, united
 
 #: Words of a shingle; percent of the union that two sets share at least.
 WORDS, PERCENT = 5, 75
@@ -167,24 +167,12 @@ def _links_of(blocks: np.ndarray, parts: np.ndarray, sets: list[np.ndarray], sig
     i, j = i[wanted], j[wanted]
     agree = np.concatenate([(signatures[i[k : k + 20_000]] == signatures[j[k : k + 20_000]]).sum(axis=1) for k in range(0, len(i), 20_000)] or [np.empty(0, np.int64)])
     order = np.argsort(-agree, kind="stable")[: int((agree >= AGREE).sum())]
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while (up := root.get(x, x)) != x:
-            root[x] = root.get(up, up)
-            x = up
-        return x
-
-    out = []
-    for x, y in zip(i[order].tolist(), j[order].tolist()):
-        p, q = find(int(parts[x])), find(int(parts[y]))
-        if p == q:
-            continue
+
+    def linked(x: int, y: int) -> bool:
         shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-        if 100 * shared >= PERCENT * (int(size[x] + size[y]) - shared):
-            out.append((x, y))
-            root[p] = q
-    return out
+        return 100 * shared >= PERCENT * (int(size[x] + size[y]) - shared)
+
+    return united(parts, ((x, y, lambda x=x, y=y: linked(x, y)) for x, y in zip(i[order].tolist(), j[order].tolist())))
 
 
 def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -148,10 +149,14 @@ def test_fuzzy_lines(spark, words):
     assert left == {1: rows[0][1], 2: " ".join(words[50:90]), 3: " ".join(words[100:140]), 4: None, 5: ""}
 
 
+def plain(line):
+    return re.sub(r"[\W_]+", " ", re.sub(r"\d+", "0", line.lower())).strip()
+
+
 def test_equal_lines_are_always_found(docs):
     seen, want = set(), {}
     for i, t in sorted(text_of(docs).items()):
-        norms = [line_dedup.normalised(x) for x in t.split("\n")]
+        norms = [plain(x) for x in t.split("\n")]
         want[i] = sum(n in seen or norms.index(n) < k for k, n in enumerate(norms) if n)
         seen.update(norms)
     got = by_id(line_dedup.line_dedup(docs))
