@@ -26,8 +26,9 @@ from .common import only
 SPACE = "\t-\r \x85\xa0  -     　"
 #: A text falls into these chunks, and no match of the tokenizer's pattern crosses a chunk.
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: Words of one recursive query; longest word in bytes that it takes; chunks and words remembered; text encoded at once.
-QUERY_WORDS, LONGEST, CHUNKS, BATCH_CHARS = 100_000, 256, 600_000, 4_000_000
+#: Rows that one recursive query may make, counted as the square of each word's bytes; longest word in
+#: bytes that it takes; chunks and words remembered; text encoded at once.
+QUERY_ROWS, LONGEST, CHUNKS, BATCH_CHARS = 8_000_000, 256, 1_200_000, 4_000_000
 
 CONTRACT = """
 WITH RECURSIVE step(word, pos, tok, next_pos, place, merged, round) AS (
@@ -76,7 +77,7 @@ class Encoder:
         import duckdb
 
         self.ranks, self.pattern, self.known, self.pieces = read_ranks(path), word_pattern(pattern), {}, {}
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         pairs = [(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         merges = pd.DataFrame(pairs, columns=["first", "second", "merged"], dtype="int32")  # noqa: F841  read by name
         vocabulary = pd.DataFrame({"tok": list(self.ranks.values()), "hex": [t.hex() for t in self.ranks]}).astype({"tok": "int32"})  # noqa: F841
@@ -90,8 +91,10 @@ class Encoder:
         rest = [w for w in words if w not in out]
         out.update((w, contracted(w, self.ranks)) for w in rest if len(w) > LONGEST)
         rest = [w for w in rest if len(w) <= LONGEST]
-        for at in range(0, len(rest), QUERY_WORDS):
-            some = rest[at : at + QUERY_WORDS]
+        made = np.cumsum([len(w) ** 2 for w in rest], dtype=np.int64) // QUERY_ROWS
+        cuts = [0, *(np.flatnonzero(made[1:] != made[:-1]) + 1).tolist(), len(rest)] if rest else []
+        for at, until in zip(cuts, cuts[1:]):
+            some = rest[at:until]
             sizes = np.array([len(w) for w in some])
             starts = np.cumsum(sizes) - sizes
             letters = pd.DataFrame(  # noqa: F841  read by name

@@ -62,6 +62,12 @@ def fingerprint(found: set[str]) -> str:
     return hashlib.sha256("\n".join(sorted(found & FIELDS)).encode()).hexdigest()[:16]
 
 
+def unread(turns: DataFrame) -> DataFrame:
+    """fingerprint, n_records of the records in canonical_turns() that no layout fits; an empty
+    fingerprint stands for what is no JSON."""
+    return turns.where("layout IS NULL").groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_records"))
+
+
 def registry() -> dict[str, str]:
     """Layout by fingerprint, for every choice of its optional fields."""
     out = {}
@@ -73,16 +79,18 @@ def registry() -> dict[str, str]:
 
 
 def _string(value) -> str:
-    return value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False)
+    """A JSON value as text: null is empty, and half a surrogate pair, which no UTF-8 can hold, a replacement character."""
+    text = value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False)
+    return text if text.isascii() else text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
 
 
 def turns_of(record: str | None, known: dict[str, str]) -> tuple[str, str | None, list[tuple[str, str]]]:
     """(fingerprint, layout, [(role, text)]) of one record of JSON."""
     try:
         value = json.loads(record or "")
-    except ValueError:
+        mark = fingerprint(paths(value))
+    except (ValueError, RecursionError):  # no JSON, or nested too deep to be a conversation
         return "", None, []
-    mark = fingerprint(paths(value))
     name = known.get(mark)
     if name is None:
         return mark, None, []

@@ -80,28 +80,34 @@ def whole_groups(frames: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.D
         yield pd.concat(held, ignore_index=True)
 
 
-def row_keys(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """documents with a number _key that only rows of the same identifier and text share: the
-    identifier, but where rows of one identifier differ in text, all texts but one have numbers
-    above all identifiers (these are below 2**61), and texts of null identifiers above those."""
-    rows = documents.withColumn("_hash", F.xxhash64(text_col))
-    mixed = rows.groupBy(F.col(id_col).alias("_mixed")).agg(F.min("_hash").alias("_own"), F.max("_hash").alias("_last"))
-    mixed = stored(mixed.where("_mixed IS NOT NULL AND _own <> _last").drop("_last"), "mixed-ids")
-    above = lambda n: F.shiftrightunsigned("_hash", 64 - n) + F.lit(1 << n)
-    rows = rows.join(small(mixed), F.col(id_col) == F.col("_mixed"), "left")
-    key = F.when(F.col(id_col).isNull(), above(62)).when(F.col("_own") != F.col("_hash"), above(61)).otherwise(F.col(id_col).cast("long"))
-    return rows.withColumn("_key", key).drop("_hash", "_mixed", "_own")
-
-
-def without_rejected(documents: DataFrame, judged: DataFrame, keys: list[str], one: bool = False) -> DataFrame:
-    """documents less those whose keys have rows in judged (keys, kept) that are none of them kept.
-    one: of rows that share their keys, one stays."""
-    fate = judged.groupBy(*keys).agg(F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_n"))
-    marked = fate.where("NOT _kept OR _n > 1" if one else "NOT _kept")
-    marked = stored(marked.select(*[F.col(k).alias(f"_of{k}") for k in keys], "_kept"), "rejected")
-    same = [F.col(k).eqNullSafe(F.col(f"_of{k}")) for k in keys]
-    if not one or not marked.where("_kept").limit(1).count():
-        return documents.join(small(marked.where("NOT _kept")), same, "left_anti")
-    left = documents.join(small(marked), same, "left")
-    once = left.where("_kept").dropDuplicates(keys)
-    return left.where("_kept IS NULL").unionByName(once).select(*documents.columns)
+def carried(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, and row: the whole row as one value, so that no name in it can clash with one
+    that an operator gives. select("row.*") brings the table back."""
+    return documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+
+
+def row_keys(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text, ...) with a number key that only rows of the same identifier and text
+    share: the identifier, but where rows of one identifier differ in text, all texts but one have
+    numbers above all identifiers (these are below 2**61), and texts of null identifiers above those."""
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    mixed = rows.groupBy(F.col("doc_id").alias("mixed")).agg(F.min("hash").alias("own"), F.max("hash").alias("last"))
+    mixed = stored(mixed.where("mixed IS NOT NULL AND own <> last").drop("last"), "mixed-ids")
+    above = lambda n: F.shiftrightunsigned("hash", 64 - n) + F.lit(1 << n)
+    rows = rows.join(small(mixed), F.col("doc_id") == F.col("mixed"), "left")
+    key = F.when(F.col("doc_id").isNull(), above(62)).when(F.col("own") != F.col("hash"), above(61)).otherwise(F.col("doc_id").cast("long"))
+    return rows.withColumn("key", key).drop("hash", "mixed", "own")
+
+
+def without_rejected(rows: DataFrame, judged: DataFrame, keys: list[str], one: bool = False) -> DataFrame:
+    """The tables' rows that carried() put into rows, less those whose keys have rows in judged
+    (keys, kept) that are none of them kept. one: of rows that share their keys, one stays."""
+    fate = judged.groupBy(*keys).agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    marked = fate.where("NOT kept OR n > 1" if one else "NOT kept")
+    marked = stored(marked.select(*[F.col(k).alias(f"of_{k}") for k in keys], "kept"), "rejected")
+    same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
+    if not one or not marked.where("kept").limit(1).count():
+        return rows.join(small(marked.where("NOT kept")), same, "left_anti").select("row.*")
+    left = rows.join(small(marked), same, "left")
+    once = left.where("kept").dropDuplicates(keys)
+    return left.where("kept IS NULL").unionByName(once).select("row.*")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, stored, without_rejected
+from .common import carried, only, stored, without_rejected
 
 #: Parts into which one group of copies is divided, and characters of a text that a splitter holds.
 SLICES, SPLITTER_CHARS = 64, 64
@@ -68,6 +68,6 @@ def exact_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def one_of_equals(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
     """documents, all columns, with one document of each group of identical texts."""
-    keyed = documents.withColumns({"_id": F.col(id_col), "_digest": F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))})
-    judged = exact_groups(documents, id_col, text_col, keep).select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest"), "kept")
-    return without_rejected(keyed, judged, ["_id", "_digest"], one=True).drop("_id", "_digest")
+    rows = carried(documents, id_col, text_col).withColumn("digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    judged = exact_groups(documents, id_col, text_col, keep).select("doc_id", F.unhex("text_sha256").alias("digest"), "kept")
+    return without_rejected(rows, judged, ["doc_id", "digest"], one=True)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, row_keys, small, stored, whole_groups, without_rejected
+from .common import carried, only, row_keys, small, stored, whole_groups, without_rejected
 from .components import components, in_blocks, united
 
 #: Words of a shingle; percent of the union that two sets share at least.
@@ -248,6 +248,6 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """documents, all columns, with one document of each group of near duplicates. Rows of null
     identifiers, and rows that share one but not the text, are documents of their own."""
-    keyed = row_keys(documents, id_col, text_col)
-    judged = near_duplicates(keyed, "_key", text_col).withColumnRenamed("doc_id", "_key")
-    return without_rejected(keyed, judged, ["_key"], one=True).drop("_key")
+    rows = row_keys(carried(documents, id_col, text_col))
+    judged = near_duplicates(rows, "key", "text").withColumnRenamed("doc_id", "key")
+    return without_rejected(rows, judged, ["key"], one=True)

@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tagger
+from .common import unused
 from .tagger import KINDS, luhn
 
+#: Columns that the operator gives.
+FOUND = [*[f"n_{k}" for k in KINDS], "base_sha256", "spans", "masked"]
 #: Windows decoded at once; steps of the tagger's training.
 DECODED, STRIDE = 2048, tagger.WINDOW // 2
-_MARK = re.compile(r"[0-9@]|[\[(] ?at ?[\])]")
+_MARK = re.compile(r"[0-9@]|[\[({] ?at ?[\])}]", re.I)
 _USER = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -69,7 +72,7 @@ def _plausible(kind: str, s: str) -> bool:
     if kind == "phone":
         return 9 <= len(d) <= 15 and not re.search("[A-Za-z]", s) and bool(re.search(r"[+() .-]", s))
     if kind == "email":
-        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+\s?(?:@|[\[(] ?at ?[\])])\s?[A-Za-z0-9-]+(?:\s?(?:\.|[\[(] ?dot ?[\])])\s?[A-Za-z0-9-]+)+", s))
+        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+\s?(?:@|[\[({] ?at ?[\])}])\s?[A-Za-z0-9-]+(?:\s?(?:\.|[\[({] ?dot ?[\])}])\s?[A-Za-z0-9-]+)+", s, re.I))
     if ":" in s:
         return bool(re.fullmatch(r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}", s))
     return bool(re.fullmatch(r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}", s)) and all(int(p) <= 255 for p in s.split("."))
@@ -172,10 +175,15 @@ def personal_data(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     text has no spans and is masked as itself. Repeated rows and null identifiers are rows of their
     own; an empty table gives an empty result.
     """
+    given = {n: n for n in FOUND}
+    return _with_spans(documents, text_col, given, [c for c in documents.columns if c.lower() not in given], steps)
+
+
+def _with_spans(documents: DataFrame, text_col: str, given: dict[str, str], keep: list[str], steps: int) -> DataFrame:
+    """The columns FOUND, under the names given, and then the columns `keep` of documents."""
     weights = tagger.trained(steps)
-    names = [f"n_{k}" for k in KINDS]
-    rest = [f for f in documents.schema.fields if f.name not in {*names, "base_sha256", "spans", "masked"}]
-    schema = T.StructType([*[T.StructField(n, T.LongType()) for n in names], *[T.StructField(n, T.StringType()) for n in ("base_sha256", "spans", "masked")], *rest])
+    rest = [documents.schema[c] for c in keep]
+    schema = T.StructType([*[T.StructField(given[n], T.LongType() if n.startswith("n_") else T.StringType()) for n in FOUND], *rest])
 
     def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
         out, last = [], 0
@@ -199,16 +207,18 @@ def personal_data(documents: DataFrame, id_col: str = "doc_id", text_col: str =
                 new["spans"] = pa.array([_listed(base + more) for base, more in found], pa.string())
                 new["masked"] = pa.array([None if t is None else masked(t, base + more) for t, (base, more) in zip(texts, found)], pa.string())
                 kept = {f.name: part.column(part.schema.get_field_index(f.name)) for f in rest}
-                yield pa.RecordBatch.from_pydict(new | kept)
+                yield pa.RecordBatch.from_pydict({given[n]: new[n] for n in FOUND} | kept)
 
     return documents.mapInArrow(run, schema)
 
 
 def mask(documents: DataFrame, text_col: str = "text") -> DataFrame:
     """documents with personal data in text_col replaced by [EMAIL], [IP], [CARD] or [PHONE], and
-    n_chars, where there is such a column, counted anew."""
-    found = personal_data(documents, text_col=text_col)
-    out = found.withColumn(text_col, F.col("masked"))
+    n_chars, where there is such a column, counted anew. All other columns stay as they are, whatever
+    their names; null and empty texts stay, repeated rows and null identifiers are rows of their own."""
+    given = {n: unused(documents, n) for n in FOUND}
+    found = _with_spans(documents, text_col, given, documents.columns, tagger.STEPS)
+    out = found.withColumn(text_col, F.col(given["masked"]))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col(text_col).isNull(), F.col("n_chars")).otherwise(F.length(text_col)).cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+    return out.select(*[f"`{c}`" for c in documents.columns])

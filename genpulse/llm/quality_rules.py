@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, without_rejected
+from .common import carried, only, stored, without_rejected
 
 SEPARATORS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -45,15 +45,15 @@ ITERATIONS = 20
 THRESHOLD = 0.5
 
 
-def text_counts(documents: DataFrame, text_col: str = "text") -> DataFrame:
-    """documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines,
+def text_counts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines,
     n_capitals, n_distinct_words and n_exclaims (long) of every whole text; a null text has none.
 
     Windows of three words that occur again are found by sorting a document's windows, so that
     equal ones are neighbours: a text of n words takes n log n steps, however repetitive it is.
     Windows are compared by 64-bit hashes within one document.
     """
-    text = F.coalesce(documents[text_col], F.lit(""))
+    documents, text = only(documents, id_col, text_col), F.coalesce("text", F.lit(""))
     words = F.expr(f"filter(split(_text, r'{SEPARATORS}'), x -> x <> '')")
     windows = F.expr("transform(sequence(0, size(_words) - 3), i -> struct(xxhash64(_words[i], _words[i + 1], _words[i + 2]) AS g, i AS i))")
     windows = F.when(F.size("_words") >= 3, windows)
@@ -80,7 +80,7 @@ def text_counts(documents: DataFrame, text_col: str = "text") -> DataFrame:
             "n_exclaims": long(F.regexp_count("_text", F.lit("!"))),
         }
     )
-    return out.drop("_text", "_words", "_sorted", "_at", "_lines")
+    return out.drop("text", "_text", "_words", "_sorted", "_at", "_lines")
 
 
 def votes(counted: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def quality(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base_failed and quality of at least threshold. Null and empty texts have no words and fail;
     repeated rows get the same verdict each; an empty table gives an empty result.
     """
-    counted = text_counts(documents.select(documents[id_col].alias("doc_id"), documents[text_col].alias("text"))).drop("text")
+    counted = text_counts(documents, id_col, text_col)
     voted = stored(votes(counted), "votes")
     model = fit(voted, iterations)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -141,9 +141,9 @@ def quality(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
 
 
-def good_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def good_documents(documents: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that quality keeps, with all their columns."""
     # a verdict hangs on the text alone, so its hash is the key of repeated and null identifiers too
-    keyed = documents.withColumn("_text", F.xxhash64(text_col))
-    judged = quality(keyed, "_text", text_col).withColumnRenamed("doc_id", "_text")
-    return without_rejected(keyed, judged, ["_text"]).drop("_text")
+    rows = carried(documents, text_col, text_col).withColumn("key", F.xxhash64("text"))
+    judged = quality(rows, "key").withColumnRenamed("doc_id", "key")
+    return without_rejected(rows, judged, ["key"])

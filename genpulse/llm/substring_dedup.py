@@ -253,7 +253,7 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
     comes last, in no stated order among its like; of those with the same text one stays. An empty
     table gives an empty result; other columns are ignored.
     """
-    source = row_keys(only(documents, id_col, text_col), "doc_id", "text").withColumnRenamed("_key", "doc")
+    source = row_keys(only(documents, id_col, text_col)).withColumnRenamed("key", "doc")
     spans = stored(repeated_starts(source.select("doc", "text")), "repeated-starts")
     by_doc = stored(spans.groupBy("doc").agg(F.collect_list(F.struct("start", "starts")).alias("spans")), "spans-by-document")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"

@@ -42,3 +42,40 @@ def test_stages_judge_rows_of_repeated_and_null_identifiers(spark, words, repeat
     assert left(one_of_equals(repeated)) in [ordered([(1, "same text"), (2, None)])]
     got = left(one_of_each(make([(1, good), (1, good), (None, near), (2, other), (2, third), (None, third), (None, None)])))
     assert got == ordered([(1, good), (2, other), (2, third), (None, None)])
+
+
+CLASHING = "doc_id long, text string, row string, key string, hash string, kept string, n string, digest string, spans string, masked string, n_email string, base_sha256 string, _rejected string, _key string, _gone string"
+
+
+def test_stages_leave_columns_of_clashing_names_alone(spark, words):
+    import random
+
+    from genpulse.llm.line_dedup import without_duplicate_lines
+
+    rng = random.Random(10)
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n)) + "."
+    texts = [prose(120) for _ in range(6)]
+    rows = [(k, t) for k, t in enumerate([*texts, texts[0], "bad", None, texts[1] + " mail a.b@c.org"])]
+    names = [f.split(" ")[0] for f in CLASHING.split(", ")]
+    docs = spark.createDataFrame([(i, t, *[f"{c}{i}" for c in names[2:]]) for i, t in rows], CLASHING)
+    for stage in [*[f for _, f in corpus_pipeline.STAGES[:-1]], lambda spark, docs, sf_dir: without_duplicate_lines(docs)]:
+        out = stage(spark, docs, "").collect()
+        assert len(out) >= 6
+        for r in out:
+            assert [r[c] for c in names[2:]] == [f"{c}{r.doc_id}" for c in names[2:]]
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), "").count() == 0
+
+
+def test_run_is_its_stages(spark):
+    import hashlib
+
+    sf_dir = "/root/testdata/sf0.001"
+    packed = corpus_pipeline.run(spark, sf_dir)
+    got = {(r.doc_id, r.start, r.length, r.ids_crc32) for r in packed.collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+    texts = [r.text for r in docs.select("text").collect()]
+    assert len({hashlib.sha256(t.encode()).hexdigest() for t in texts}) == len(texts)
+    assert {x[0] for x in got} == {r.doc_id for r in docs.select("doc_id").collect()}

@@ -130,6 +130,18 @@ RECORDS = [
 ]
 
 
+def test_odd_records(spark):
+    deep = "[" * 100_000 + "]" * 100_000
+    half = '{"role": "user", "text": "a\\ud800b"}'
+    rows = [(1, half), (2, deep), (3, '{"messages": []}'), (4, '{"role": ["x"], "text": {"y": 1}}'), (5, "NaN"), (None, half)]
+    turns = chat.canonical_turns(spark.createDataFrame(rows, "id long, record string"), "id", "record")
+    got = {r.conv_id: (r.layout, r.text) for r in turns.collect()}
+    assert got[1] == got[None] == ("turn", "a\ufffdb")
+    assert [got[k][0] for k in (2, 3, 4, 5)] == [None] * 4
+    assert chat.unread(turns).agg({"n_records": "sum"}).first()[0] == 4
+    assert chat.read_back(chat.format_conversations(turns)).count() == 2
+
+
 def test_layouts_become_turns(spark, empty):
     rows = [(k, json.dumps(r)) for k, r in enumerate(RECORDS)] + [(90, None), (91, "not json"), (92, '{"other": 1}'), (93, '{"role": null, "text": null}')]
     got = {}
@@ -201,6 +213,15 @@ def test_bpe_of_odd_texts():
     assert [x.tolist() for x in encoder.encode(texts)] == [library.encode_ordinary(t) for t in texts]
 
 
+def test_bpe_of_many_long_words():
+    import tiktoken
+
+    encoder, rng = byte_bpe.Encoder(RANKS, PATTERN), random.Random(3)
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=encoder.ranks, special_tokens={})
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(240)) for _ in range(1500)]
+    assert encoder.encode([" ".join(words)])[0].tolist() == library.encode_ordinary(" ".join(words))
+
+
 # secrets
 
 def plain_secrets(t):
@@ -228,6 +249,24 @@ def test_weak_parts_need_a_complement(spark, repeated, empty):
     assert secrets.find_secrets(repeated).count() == 5 and secrets.find_secrets(empty).count() == 0
 
 
+def test_links_against_brute_force(spark):
+    rng = random.Random(6)
+    parts = []
+    for row in range(40):
+        for _ in range(rng.randrange(1, 25)):
+            first = rng.randrange(4000)
+            parts.append((row, rng.choice(["identifier", "endpoint", "secret", "access", "assign", "hex"]), first, first + rng.choice([1, 8, 60, 900])))
+    parts = sorted(set(parts))
+    sort = lambda k: {"access": "identifier", "assign": "secret", "hex": "secret"}.get(k, k)
+    want = set()
+    for row, kind, first, last in parts:
+        needs = {"secret": {"identifier", "endpoint"}}.get(kind, {"secret"})
+        if kind in secrets.WEAK and any(r == row and sort(k) in needs and f <= last + 200 and e >= first - 200 for r, k, f, e in parts):
+            want.add((row, kind, first, last))
+    got = secrets.linked(spark.createDataFrame(parts, "row long, kind string, first int, last int")).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want) and 0 < len(want) < len(parts)
+
+
 def test_weak_parts_in_environment_files_and_long_tokens(spark):
     loose = "Zx9Kq2Lw8Vb4Nm6Ty1Rp"
     rows = [(0, f"username=alice1 pwd={loose}"), (1, f"username = alice1 {loose * 25}"), (2, f"https://h.example.com/x?sig={loose}&v=1"), (3, f"postgres://u:{loose}@h/db"), (4, f"pwd={loose}"), (5, f"user=alice1 x={loose}==")]
