@@ -1,7 +1,8 @@
 """The corpus pipeline: raw documents to packed training sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
-read again as the next one's docs. A lost executor costs at most the stage at hand.
+read again as the next one's docs. A lost executor costs at most the stage at hand. An empty table
+gives an empty result at every stage, and columns of any other name pass through the first four.
 """
 
 from __future__ import annotations
@@ -18,27 +19,31 @@ from genpulse.llm.quality_rules import good_documents
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose posterior quality passes; the rest go."""
+    """Documents whose posterior quality passes; the rest go. Null and empty texts fail; rows of one
+    text share a verdict, whatever their identifiers."""
     return good_documents(docs)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of identical texts."""
+    """One document of each group of identical texts: that of the largest identifier. Null and empty
+    texts are equal; rows of a null identifier stay only where their group has no other."""
     return one_of_equals(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: that of the least identifier. Rows of null
+    identifiers, and rows that share one but not the text, are documents of their own; texts
+    without words are near to nothing and stay."""
     return one_of_each(docs)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their personal data masked."""
+    """All documents, their personal data masked and n_chars counted anew; null texts stay null."""
     return mask(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of packed sequences."""
+    """The pieces of packed sequences. A null text is packed as an empty one, its end token alone."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
