@@ -27,7 +27,7 @@ from .induced_sort import common_prefixes, suffix_order
 #: Bytes of a string that must not repeat, and of the strings whose least hash is its key.
 LENGTH, GRAM = 100, 32
 #: Different runs of a key before it is divided; bytes sorted at once.
-CROWD, SHARD_BYTES = 4000, 2_000_000
+CROWD, SHARD_BYTES = 4000, 800_000
 _BATCH_BYTES = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
