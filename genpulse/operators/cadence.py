@@ -42,6 +42,32 @@ def cadence(df: DataFrame, longest: float = 300.0, least_samples: int = 30, defa
     )
 
 
+def simple_interval(df: DataFrame, longest: float = 300.0, default: int = 60) -> DataFrame:
+    """The commonest gap of whole seconds up to `longest` of each generator, at least 1; the default where there is none."""
+    gaps = df.select(KEY, seconds_since_last().alias("gap")).groupBy(KEY).agg(F.mode(F.when(F.col("gap") <= longest, F.floor("gap")), True).alias("base"))
+    return gaps.select(KEY, F.greatest(F.lit(1), F.coalesce("base", F.lit(default))).cast("int").alias("interval"))
+
+
+def interval_diagnostics(df: DataFrame) -> DataFrame:
+    """Count, mean, deviation and extremes of all gaps of each generator."""
+    gaps = df.select(KEY, seconds_since_last().alias("gap"))
+    out = gaps.groupBy(KEY).agg(F.count("gap").alias("n"), F.avg("gap").alias("mean"), F.stddev_samp("gap").alias("std"), F.min("gap").alias("least"), F.max("gap").alias("most"))
+    return out.withColumns({c: F.round(c, 4) for c in ("mean", "std", "least", "most")})
+
+
+def with_interval(df: DataFrame, cadences: DataFrame, default: int = 60) -> DataFrame:
+    """df with reporting_interval_sec, looked up by generator. cadences has one row a generator."""
+    found = cadences.select(KEY, F.col("interval").alias("_interval"))
+    return df.join(found, KEY, "left").withColumn("reporting_interval_sec", F.coalesce("_interval", F.lit(default))).drop("_interval")
+
+
+def compared(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Intervals and confidences of two tables of cadences side by side, the surest first."""
+    side = lambda df, s: df.select(KEY, F.col("interval").alias(f"interval_{s}"), F.col("confidence").alias(f"confidence_{s}"))
+    out = side(a, "a").join(side(b, "b"), KEY, "full_outer")
+    return out.withColumn("differ", ~F.col("interval_a").eqNullSafe(F.col("interval_b"))).orderBy(F.desc_nulls_last("confidence_a"), KEY)
+
+
 def stability(confidence: F.Column) -> F.Column:
     return bands(confidence, [(95, "Excellent"), (85, "Good"), (70, "Moderate"), (50, "Poor")], "Unstable")
 

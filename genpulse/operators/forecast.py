@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,11 +98,26 @@ def split(df: DataFrame, train: float = 0.7, validation: float = 0.15) -> DataFr
 
 
 def global_split(df: DataFrame, train: float = 0.7, validation: float = 0.15) -> DataFrame:
-    """df with split by time over all generators. The two bounds are order statistics of time, so
-    no single task sorts the table; rows at a bound's very time stay together, on its earlier side."""
-    at = df.agg(F.percentile_approx(micros(), F.array(F.lit(train), F.lit(train + validation)), 1_000_000).alias("q")).first().q or [0, 0]
-    t = micros()
-    return df.withColumn("split", F.when(t <= at[0], "train").when(t <= at[1], "validation").otherwise("test"))
+    """df with split by place in the order of (timestamp, row_id) over all generators. The two
+    bounds are exact: rows are counted by hour, and only the hour that holds a bound is sorted, so
+    no single task sorts the table. The counts are one row an hour, whatever the number of rows."""
+    hour = F.floor(micros() / 3_600_000_000)
+    counts = sorted((r.h, r.n) for r in df.where("timestamp IS NOT NULL").groupBy(hour.alias("h")).agg(F.count(F.lit(1)).alias("n")).collect())
+    total = sum(n for _, n in counts)
+
+    def last(place: int) -> Column:
+        """Whether a row is among the first `place`."""
+        before = 0
+        for h, n in counts:
+            if before + n >= place > before:
+                rows = df.where(hour == h).select(micros().alias("t"), "row_id").orderBy("t", "row_id").limit(place - before)
+                t, row = rows.agg(F.max(F.struct("t", "row_id"))).first()[0]
+                return (micros() < t) | ((micros() == t) & (F.col("row_id") <= row))
+            before += n
+        return F.lit(False)
+
+    first, second = last(int(total * train)), last(int(total * (train + validation)))
+    return df.withColumn("split", F.when(first, "train").when(second, "validation").otherwise("test"))
 
 
 def split_order(df: DataFrame) -> DataFrame:
@@ -116,7 +131,8 @@ def frequency_encoded(df: DataFrame, column: str) -> DataFrame:
     """df with <column>__frequency: the share of rows with the same value, nulls counted as one."""
     value = F.coalesce(column, F.lit(MISSING))
     counts = df.groupBy(value.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn(f"{column}__frequency", F.col("_n") / F.sum("_n").over(Window.partitionBy())).drop("_n")
+    total = df.count()
+    counts = counts.withColumn(f"{column}__frequency", F.col("_n") / F.lit(max(total, 1))).drop("_n")
     return df.join(counts, value == F.col("_v")).drop("_v")
 
 
@@ -232,13 +248,15 @@ def selected_features(df: DataFrame, columns: list[str], constant: float = 0.99,
 
     Correlations of all pairs, nulls left out pair by pair, come from one pass. The table of
     features is as long as the list of columns."""
-    rate = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in columns]).first()
-    spread = df.agg(*[F.var_samp(c).alias(c) for c in columns]).first()
+    both = df.agg(*[F.avg(F.col(c).isNull().cast("double")) for c in columns], *[F.var_samp(c) for c in columns]).first()
+    rate, spread = dict(zip(columns, both)), dict(zip(columns, both[len(columns) :]))
+    # the commonest value of every column, from one unpivot and one shuffle
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
+    tops = dict(values.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("feature").agg(F.max("n")).collect())
     n = df.count()
     verdict = {}
     for c in columns:
-        top = df.groupBy(c).count().agg(F.max("count")).first()[0] or 0
-        if n and top / n >= constant:
+        if n and tops.get(c, 0) / n >= constant:
             verdict[c] = "constant"
         elif (rate[c] or 0) > missing:
             verdict[c] = "missing"

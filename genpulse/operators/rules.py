@@ -58,6 +58,16 @@ HEALTH_ISSUES = {
 LEVELS = [(90, "Very High"), (75, "High"), (50, "Medium"), (25, "Low")]
 
 
+#: What to do at each level of sensor health.
+ADVICE = {
+    "Excellent": "No action required",
+    "Good": "Continue monitoring",
+    "Fair": "Inspect during next maintenance",
+    "Poor": "Schedule sensor inspection",
+    "Critical": "Immediate maintenance required",
+}
+
+
 def with_deltas(df: DataFrame) -> DataFrame:
     """df with fuel_delta, current_delta, voltage_delta, time_delta_sec and consumption rates."""
     out = df.withColumns({"fuel_delta": change("fuel_level_l"), "current_delta": change("current"), "voltage_delta": change("battery_voltage"), "time_delta_sec": seconds_since_last()})
@@ -261,6 +271,29 @@ def anomalies(df: DataFrame) -> DataFrame:
     )
 
 
+def fused_conflict(df: DataFrame) -> DataFrame:
+    """df, over fused_state(), with state_conflict: the reported status and the state disagree about
+    running; and state_confidence_level."""
+    reported, runs = F.lower(F.trim("status")), F.col("state").startswith("Running")
+    level = bands(F.col("state_confidence"), [(95, "Very High"), (85, "High"), (70, "Medium"), (50, "Low")], "Very Low")
+    return df.withColumns({"state_conflict": flag(((reported == "running") & ~runs) | ((reported == "stopped") & runs)), "state_confidence_level": level})
+
+
+def state_report(df: DataFrame, state: str = "estimated_status", level: str = "confidence_level", confidence: str = "estimated_confidence") -> DataFrame:
+    """Rows and mean confidence of each state and confidence level."""
+    return df.groupBy(F.col(state).alias("state"), F.col(level).alias("level")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(confidence), 4).alias("mean_confidence"))
+
+
+def issue_advice(df: DataFrame) -> DataFrame:
+    """df, over sensor_score(), with sensor_issue_detected and maintenance_recommendation."""
+    issues = ["fuel_invalid", "fuel_outlier", "current_invalid", "current_outlier", "battery_invalid", "battery_current_mismatch", "state_sensor_mismatch", "sensor_drift"]
+    advice = F.create_map(*[F.lit(x) for pair in ADVICE.items() for x in pair])
+    found = flag(F.lit(False))
+    for c in issues:
+        found = found | flag(F.col(c))
+    return df.withColumns({"sensor_issue_detected": found, "maintenance_recommendation": advice[F.col("sensor_health")]})
+
+
 def counts_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 

@@ -283,7 +283,7 @@ def split_order(spark, sf_dir):
     return fc.split_order(fc.split(src.telemetry(spark, sf_dir)))
 
 
-@query()
+@query(sql.GLOBAL_SPLIT)
 def global_time_split(spark, sf_dir):
     return fc.global_split(src.telemetry(spark, sf_dir)).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
@@ -379,3 +379,6 @@ def worst_sensor_health(spark, sf_dir):
 @query(sql.PRIORITIES)
 def maintenance_priorities(spark, sf_dir):
     return rules.counts_by(healthy(spark, sf_dir), "maintenance_priority")
+
+
+from . import checks  # noqa: E402,F401  registers the queries of integrity and comparison

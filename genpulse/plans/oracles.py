@@ -267,6 +267,7 @@ PERSISTENCE = _with(_TARGET, "SELECT row_id, persistence, round((us - persistenc
 _SPLIT = ", sp AS (SELECT *, CASE WHEN k <= floor(n * 0.7::DOUBLE) THEN 'train' WHEN k <= floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'validation' ELSE 'test' END AS split FROM (SELECT *, count(*) OVER (PARTITION BY generator_id) AS n, row_number() OVER (PARTITION BY generator_id ORDER BY timestamp, row_id) AS k FROM T))"
 SPLIT = _with(_SPLIT, "SELECT row_id, split FROM sp")
 SPLIT_ORDER = _with(_SPLIT, "SELECT generator_id, coalesce(max(us) FILTER (split = 'train') <= min(us) FILTER (split = 'validation') AND max(us) FILTER (split = 'validation') <= min(us) FILTER (split = 'test'), true) AS ordered FROM sp GROUP BY generator_id")
+GLOBAL_SPLIT = _with("", "SELECT CASE WHEN k <= floor(n * 0.7::DOUBLE) THEN 'train' WHEN k <= floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'validation' ELSE 'test' END AS split, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY timestamp, row_id) AS k, count(*) OVER () AS n FROM T) GROUP BY 1")
 ENCODING = _with("", "SELECT row_id, round(count(*) OVER (PARTITION BY site_name) / count(*) OVER (), 6) AS site_name__frequency, (status IS NULL)::INT AS status__missing, (status IS NOT DISTINCT FROM 'running')::INT AS status__running, (status IS NOT DISTINCT FROM 'stopped')::INT AS status__stopped FROM T")
 _METRICS = """count(*) AS n, round(avg(absolute_error), 4) AS mae, round(sqrt(avg(error * error)), 4) AS rmse, round(1 - sum(error * error) / nullif(sum(target_fuel * target_fuel) - count(*) * avg(target_fuel) * avg(target_fuel), 0), 4) AS r2, round(avg(error), 4) AS bias,
 round(quantile_cont(absolute_error, 0.5), 4) AS median, round(max(absolute_error), 4) AS most, round(100 * avg(abs(error / target_fuel)) FILTER (abs(target_fuel) > 1e-6), 4) AS mape FROM E WHERE error IS NOT NULL"""
