@@ -116,13 +116,16 @@ def _all_runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _snippets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes of wanted runs, whole, or start by start where their key is divided."""
+    """The bytes of wanted runs, whole, or start by start where their key is divided; a bounded part at a time."""
+    rows, held = [], 0
+
+    def done() -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=["key", "shard", "doc", "start", "starts", "content"]).astype({"shard": "int64"})
+
     for frame in frames:
-        rows = []
-        for doc, text, wanted in zip(frame["doc"], frame["text"], frame["wanted"]):
+        for doc, text, *wanted in zip(*[frame[c] for c in ("doc", "text", "key", "start", "starts", "shards")]):
             raw = (text or "").encode("utf-8", "replace")
-            for w in wanted:
-                key, start, n, shards = w["key"], w["start"], w["starts"], w["shards"]
+            for key, start, n, shards in zip(*[w.tolist() for w in wanted]):
                 if start + n + LENGTH - 1 > len(raw):
                     continue
                 if shards <= 1:
@@ -132,7 +135,12 @@ def _snippets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         piece = raw[s : s + LENGTH]
                         shard = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little") % shards
                         rows.append((key, shard, doc, s, 1, piece))
-        yield pd.DataFrame(rows, columns=["key", "shard", "doc", "start", "starts", "content"]).astype({"shard": "int64"})
+                held += n + LENGTH
+            if held >= _BATCH_BYTES:
+                yield done()
+                rows, held = [], 0
+    if rows:
+        yield done()
 
 
 def repeats(doc: np.ndarray, start: np.ndarray, starts: np.ndarray, content: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -216,20 +224,26 @@ def repeated_starts(source: DataFrame) -> DataFrame:
     different = crowds.where("n > 1").join(spans, "key").select("key", "kept.*", "shards")
     wanted = stored(different.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "starts", "shards")).alias("wanted")), "wanted-runs")
     texts = source.join(small(wanted.select("doc")), "doc", "left_semi")
-    snippets = texts.join(wanted, "doc").mapInPandas(_snippets, "key long, shard long, doc long, start int, starts int, content binary")
+    # arrays of numbers, not of structs, which Python would hold as dictionaries
+    asked = texts.join(wanted, "doc").select("doc", "text", *[F.col(f"wanted.{c}").alias(c) for c in ("key", "start", "starts", "shards")])
+    snippets = asked.mapInPandas(_snippets, "key long, shard long, doc long, start int, starts int, content binary")
     dealt = snippets.repartition("key", "shard").sortWithinPartitions("key", "shard")
     sorted_out = dealt.mapInPandas(_sorted_shards, "doc long, start int, starts int")
     return alike.unionByName(copies).unionByName(sorted_out)
 
 
 def _kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows, held = [], 0
+
+    def done() -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]).astype({"doc_id": "Int64"})
+
     for frame in frames:
-        rows = []
-        for doc, text, spans in zip(frame["doc_id"], frame["text"], frame["spans"]):
+        for doc, text, starts, counts in zip(frame["doc_id"], frame["text"], frame["start"], frame["starts"]):
             raw = (text or "").encode("utf-8", "replace")
             removed, n_spans, out, last = 0, 0, [], 0
             gone: list[list[int]] = []
-            for s in sorted((x["start"], x["start"] + x["starts"] + LENGTH - 1) for x in spans) if spans is not None else []:
+            for s in sorted(zip(starts.tolist(), (starts + counts + LENGTH - 1).tolist())) if starts is not None else []:
                 if gone and s[0] <= gone[-1][1]:
                     gone[-1][1] = max(gone[-1][1], s[1])
                 else:
@@ -239,7 +253,12 @@ def _kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 removed, n_spans, last = removed + e - s, n_spans + 1, e
             kept = b"".join([*out, raw[last:]])
             rows.append((None if pd.isna(doc) else int(doc), len(raw), removed, n_spans, hashlib.sha256(kept).hexdigest(), kept))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]).astype({"doc_id": "Int64"})
+            held += len(raw)
+            if held >= _BATCH_BYTES:
+                yield done()
+                rows, held = [], 0
+    if rows:
+        yield done()
 
 
 def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = True) -> DataFrame:
@@ -272,5 +291,6 @@ def substring_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str
         single = source.join(small(copied), "doc", "left_anti")
         touched = single.join(ids, "doc", "left_semi").join(by_doc, "doc").select("doc_id", "text", "spans").unionByName(copies)
         whole = single.join(ids, "doc", "left_anti").select("doc_id", "text", F.lit(None).cast(kind).alias("spans"))
-    out = touched.unionByName(whole).mapInPandas(_kept, schema)
+    marked = touched.unionByName(whole).select("doc_id", "text", *[F.col(f"spans.{c}").alias(c) for c in ("start", "starts")])
+    out = marked.mapInPandas(_kept, schema)
     return out if with_kept else out.drop("kept")
