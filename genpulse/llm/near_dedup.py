@@ -35,7 +35,7 @@ NEIGHBOURS, SORTED_ROWS = 3, 4096
 #: 120 of 160 are expected, and fewer than 100 agree with probability 0.0002.
 AGREE = 100
 _HASH_BYTES, _SEED = 2, 20_011
-_KNOWN_WORDS, _BATCH_CHARS = 300_000, 400_000
+_KNOWN_WORDS, _BATCH_CHARS = 150_000, 400_000
 
 
 class Shingler:

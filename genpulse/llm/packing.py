@@ -31,7 +31,7 @@ CAPACITY, END_ID = 4096, 2
 #: Cost of a token, and of a pair of tokens of one document, in units of a token's cost.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 #: Tokens that one batch holds before it is packed; rows of a task encoded at once; words remembered.
-BATCH_TOKENS, ROWS, WORDS = 1 << 20, 64, 900_000
+BATCH_TOKENS, ROWS, WORDS = 1 << 20, 64, 600_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
