@@ -29,6 +29,8 @@ CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Rows that one recursive query may make, counted as the square of each word's bytes; longest word in
 #: bytes that it takes; chunks and words remembered; text encoded at once.
 QUERY_ROWS, LONGEST, CHUNKS, BATCH_CHARS = 8_000_000, 256, 1_200_000, 4_000_000
+#: Ids of one decoding query.
+DECODED = 1_000_000
 
 CONTRACT = """
 WITH RECURSIVE step(word, pos, tok, next_pos, place, merged, round) AS (
@@ -123,18 +125,28 @@ class Encoder:
         return [np.frombuffer(b"".join([known[c] for c in chunks]), dtype="<u4") for chunks in split]
 
     def decode(self, tokens: list[np.ndarray]) -> list[bytes]:
-        sizes = np.array([len(t) for t in tokens])
-        if not sizes.sum():
-            return [b""] * len(tokens)
-        ids = pd.DataFrame(  # noqa: F841  read by name
-            {
-                "doc": np.repeat(np.arange(len(tokens), dtype=np.int32), sizes),
-                "pos": np.arange(sizes.sum(), dtype=np.int64),
-                "tok": np.concatenate(tokens).astype(np.int32),
-            }
-        )
-        found = iter(self.db.execute(DECODE).fetchall())
-        return [bytes.fromhex(next(found)[0]) if n else b"" for n in sizes.tolist()]
+        """The bytes of each array of ids. A query takes DECODED ids at most, so a long text is
+        decoded in several parts, and its memory is bounded."""
+        parts = [(doc, t[k : k + DECODED]) for doc, t in enumerate(tokens) for k in range(0, len(t), DECODED)]
+        out: list[list[bytes]] = [[] for _ in tokens]
+        at = 0
+        while at < len(parts):
+            until, held = at, 0
+            while until < len(parts) and (until == at or held + len(parts[until][1]) <= DECODED):
+                held += len(parts[until][1])
+                until += 1
+            some = parts[at:until]
+            ids = pd.DataFrame(  # noqa: F841  read by name
+                {
+                    "doc": np.repeat(np.arange(len(some), dtype=np.int32), [len(t) for _, t in some]),
+                    "pos": np.arange(held, dtype=np.int64),
+                    "tok": np.concatenate([t for _, t in some]).astype(np.int32),
+                }
+            )
+            for (doc, _), (text,) in zip(some, self.db.execute(DECODE).fetchall()):
+                out[doc].append(bytes.fromhex(text))
+            at = until
+        return [b"".join(found) for found in out]
 
 
 def contracted(word: bytes, ranks: dict[bytes, int]) -> bytes:

@@ -213,6 +213,14 @@ def test_bpe_of_odd_texts():
     assert [x.tolist() for x in encoder.encode(texts)] == [library.encode_ordinary(t) for t in texts]
 
 
+def test_bpe_decodes_in_bounded_parts(monkeypatch):
+    encoder = byte_bpe.Encoder.of(RANKS, PATTERN)
+    texts = ["one two three four five six " * 9, "", "é 日本 🙂 " * 20, "x"]
+    monkeypatch.setattr(byte_bpe, "DECODED", 7)
+    assert [b.decode() for b in encoder.decode(encoder.encode(texts))] == texts
+    assert encoder.decode([]) == []
+
+
 def test_bpe_of_many_long_words():
     import tiktoken
 
