@@ -6,14 +6,20 @@ it reads become rows (word, position, token); a recursive query joins neighbours
 table and contracts each word's leftmost pair of least rank, until no word has a pair left.
 Decoding joins ids to the vocabulary and concatenates in order. Nothing is shuffled, and the words
 of a task are encoded once, however often they occur.
+
+A long word is cut first where no token of the vocabulary, wherever it occurs in the word, crosses:
+no contraction can cross there either. Parts that are still long go through a second recursive
+query, which contracts all the pairs of least rank in a round that cannot be told apart from
+contracting them one by one, and which stops after so many rounds that its rows stay bounded; the
+next query takes up where it stopped.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,11 +32,11 @@ from .common import only
 SPACE = "\t-\r \x85\xa0  -     　"
 #: A text falls into these chunks, and no match of the tokenizer's pattern crosses a chunk.
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: Rows that one recursive query may make, counted as the square of each word's bytes; longest word in
-#: bytes that it takes; chunks and words remembered; text encoded at once.
-QUERY_ROWS, LONGEST, CHUNKS, BATCH_CHARS = 8_000_000, 256, 1_200_000, 4_000_000
-#: Ids of one decoding query.
-DECODED = 1_000_000
+#: Rows that one recursive query may make, for short words counted as the square of their bytes; bytes
+#: from which a word is long; chunks and words remembered; text encoded at once.
+QUERY_ROWS, LONGEST, CHUNKS, BATCH_CHARS = 8_000_000, 64, 1_200_000, 4_000_000
+#: Ids of one decoding query; letters of one query of long words, more where a single part is longer.
+DECODED, LETTERS = 1_000_000, 500_000
 
 CONTRACT = """
 WITH RECURSIVE step(word, pos, tok, next_pos, place, merged, round) AS (
@@ -49,6 +55,31 @@ WITH RECURSIVE step(word, pos, tok, next_pos, place, merged, round) AS (
     LEFT JOIN merges m ON m.first = n.tok AND m.second = n.next_tok)
 SELECT s.word, s.tok FROM step s JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) l ON s.word = l.word AND s.round = l.round ORDER BY s.word, s.pos
 """
+#: A round contracts every other one of neighbouring pairs of the least rank, from the left, as one by
+#: one would; but only the leftmost where the new token may at once be part of a pair of lesser rank.
+CONTRACT_LONG = """
+WITH RECURSIVE step(word, pos, tok, merged, round) AS (
+    SELECT l.word, l.pos, l.tok, m.merged, 0
+    FROM (SELECT *, lead(tok) OVER (PARTITION BY word ORDER BY pos) AS next_tok FROM letters) l
+    LEFT JOIN merges m ON m.first = l.tok AND m.second = l.next_tok
+    UNION ALL
+    SELECT n.word, n.pos, n.tok, m.merged, n.round
+    FROM (
+        SELECT word, pos, round, tok, lead(tok) OVER (PARTITION BY word ORDER BY pos) AS next_tok
+        FROM (
+            SELECT word, pos, round + 1 AS round, CASE WHEN chosen THEN merged ELSE tok END AS tok, coalesce(lag(chosen) OVER (PARTITION BY word ORDER BY pos), false) AS gone
+            FROM (
+                SELECT *, least_rank AND CASE WHEN alone THEN place = min(CASE WHEN least_rank THEN place END) OVER (PARTITION BY word)
+                    ELSE (place - coalesce(max(CASE WHEN NOT least_rank THEN place END) OVER (PARTITION BY word ORDER BY pos), 0)) % 2 = 1 END AS chosen
+                FROM (
+                    SELECT s.*, coalesce(s.merged = b.best, false) AS least_rank, e.tok IS NOT NULL AS alone, row_number() OVER (PARTITION BY s.word ORDER BY s.pos) AS place
+                    FROM step s JOIN (SELECT word, min(merged) AS best FROM step WHERE merged IS NOT NULL GROUP BY word) b ON s.word = b.word
+                    LEFT JOIN eager e ON e.tok = b.best
+                    WHERE s.round < $rounds)))
+        WHERE NOT gone) n
+    LEFT JOIN merges m ON m.first = n.tok AND m.second = n.next_tok)
+SELECT s.word, s.pos, s.tok, s.merged IS NOT NULL AS more FROM step s JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) l ON s.word = l.word AND s.round = l.round ORDER BY s.word, s.pos
+"""
 DECODE = "SELECT string_agg(v.hex, '' ORDER BY i.pos) AS hex FROM ids i JOIN vocabulary v ON v.tok = i.tok GROUP BY i.doc ORDER BY i.doc"
 
 
@@ -85,31 +116,76 @@ class Encoder:
         vocabulary = pd.DataFrame({"tok": list(self.ranks.values()), "hex": [t.hex() for t in self.ranks]}).astype({"tok": "int32"})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
+        # tokens that form a pair of lesser rank than their own with some neighbour
+        self.db.execute("CREATE TABLE eager AS SELECT first AS tok FROM merges WHERE merged < first UNION SELECT second FROM merges WHERE merged < second")
+        self.occurrences = None
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
 
     def words(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Little-endian ids of each word. A word that is a token is that token."""
         out = {w: np.array([self.ranks[w]], "<u4").tobytes() for w in words if w in self.ranks}
         rest = [w for w in words if w not in out]
-        out.update((w, contracted(w, self.ranks)) for w in rest if len(w) > LONGEST)
-        rest = [w for w in rest if len(w) <= LONGEST]
-        made = np.cumsum([len(w) ** 2 for w in rest], dtype=np.int64) // QUERY_ROWS
-        cuts = [0, *(np.flatnonzero(made[1:] != made[:-1]) + 1).tolist(), len(rest)] if rest else []
-        for at, until in zip(cuts, cuts[1:]):
-            some = rest[at:until]
-            sizes = np.array([len(w) for w in some])
-            starts = np.cumsum(sizes) - sizes
-            letters = pd.DataFrame(  # noqa: F841  read by name
-                {
-                    "word": np.repeat(np.arange(len(some), dtype=np.int32), sizes),
-                    "pos": (np.arange(sizes.sum()) - np.repeat(starts, sizes)).astype(np.int32),
-                    "tok": self.byte[np.frombuffer(b"".join(some), dtype=np.uint8)],
-                }
-            )
+        parts = {w: self.parts(w) for w in rest if len(w) > LONGEST}
+        single = list(dict.fromkeys([w for w in rest if w not in parts] + [p for ps in parts.values() for p in ps]))
+        ids = self.contracted([w for w in single if len(w) <= LONGEST]) | self.contracted_long([w for w in single if len(w) > LONGEST])
+        out.update((w, b"".join([ids[p] for p in parts[w]]) if w in parts else ids[w]) for w in rest)
+        return out
+
+    def parts(self, word: bytes) -> list[bytes]:
+        """The word, cut at every place that no token which occurs in it crosses."""
+        import ahocorasick
+
+        if self.occurrences is None:
+            self.occurrences = ahocorasick.Automaton()
+            for token in self.ranks:
+                self.occurrences.add_word(token.decode("latin-1"), len(token))
+            self.occurrences.make_automaton()
+        first = array("q", range(len(word)))  # where the longest token that ends here begins
+        for end, size in self.occurrences.iter(word.decode("latin-1")):
+            if end + 1 - size < first[end]:
+                first[end] = end + 1 - size
+        reached = np.minimum.accumulate(np.frombuffer(first, dtype=np.int64)[::-1])[::-1]
+        cuts = np.flatnonzero(reached >= np.arange(len(word))).tolist()
+        return [word[s:e] for s, e in zip(cuts, [*cuts[1:], len(word)])]
+
+    def letters(self, words: list[bytes]) -> pd.DataFrame:
+        sizes = np.array([len(w) for w in words])
+        starts = np.cumsum(sizes) - sizes
+        return pd.DataFrame(
+            {
+                "word": np.repeat(np.arange(len(words), dtype=np.int32), sizes),
+                "pos": (np.arange(sizes.sum()) - np.repeat(starts, sizes)).astype(np.int32),
+                "tok": self.byte[np.frombuffer(b"".join(words), dtype=np.uint8)],
+            }
+        )
+
+    def contracted(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Little-endian ids of short words, by one contraction of each word a round."""
+        out = {}
+        for some in _shares(words, [len(w) ** 2 for w in words], QUERY_ROWS):
+            letters = self.letters(some)  # noqa: F841  read by name
             got = self.db.execute(CONTRACT).fetchnumpy()
-            ids = np.ascontiguousarray(got["tok"]).astype("<u4")
-            ends = np.searchsorted(got["word"], np.arange(len(some)), side="right")
-            out.update((w, ids[s:e].tobytes()) for w, s, e in zip(some, [0, *ends[:-1].tolist()], ends.tolist()))
+            out.update(_of_words(some, got["word"], got["tok"]))
+        return out
+
+    def contracted_long(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Little-endian ids of long words, by a bounded number of rounds a query. Memory is bounded
+        too, but for a single word of over a million letters that nothing cuts, such as a ruler of
+        dashes: it takes what its letters take in one round."""
+        out = {}
+        for some in _shares(words, [len(w) for w in words], LETTERS):
+            letters, done = self.letters(some), []
+            self.db.execute(f"SET memory_limit='{max(500, len(letters) // 2000)}MB'")
+            while len(letters):
+                got = self.db.execute(CONTRACT_LONG, {"rounds": max(1, QUERY_ROWS // len(letters))}).fetchnumpy()
+                open_ = np.zeros(len(some), dtype=bool)
+                open_[got["word"][got["more"]]] = True
+                still = open_[got["word"]]
+                done.append((got["word"][~still], got["tok"][~still]))
+                letters = pd.DataFrame({c: got[c][still] for c in ("word", "pos", "tok")})
+            word, tok = (np.concatenate([d[k] for d in done]) for k in (0, 1))
+            order = np.argsort(word, kind="stable")
+            out.update(_of_words(some, word[order], tok[order]))
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -149,30 +225,18 @@ class Encoder:
         return [b"".join(found) for found in out]
 
 
-def contracted(word: bytes, ranks: dict[bytes, int]) -> bytes:
-    """The same contraction with a heap of pairs, for words so long that a round for each pair
-    would take the square of their length."""
-    n = len(word)
-    end, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-
-    def rank(i: int) -> int | None:
-        j = end[i]
-        return ranks.get(word[i : end[j]]) if j < n else None
-
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
-    heapq.heapify(heap)
-    while heap:
-        _, i, stop = heapq.heappop(heap)
-        if not alive[i] or end[i] >= n or end[end[i]] != stop:
-            continue
-        alive[end[i]] = False
-        end[i] = stop
-        if stop < n:
-            before[stop] = i
-        for k in (i, before[i]):
-            if k >= 0 and (r := rank(k)) is not None:
-                heapq.heappush(heap, (r, k, end[end[k]]))
-    return np.array([ranks[word[i : end[i]]] for i in range(n) if alive[i]], "<u4").tobytes()
+def _shares(words: list[bytes], costs: list[int], most: int) -> Iterator[list[bytes]]:
+    """The words in order, in lists of about `most` cost."""
+    at = np.cumsum(costs, dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(words)] if words else []
+    yield from (words[s:e] for s, e in zip(cuts, cuts[1:]))
+
+
+def _of_words(words: list[bytes], word: np.ndarray, tok: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+    """Each word with its ids, from rows that come sorted by the word's number."""
+    ids = np.ascontiguousarray(tok).astype("<u4")
+    ends = np.searchsorted(word, np.arange(len(words)), side="right").tolist()
+    return ((w, ids[s:e].tobytes()) for w, s, e in zip(words, [0, *ends[:-1]], ends))
 
 
 def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:

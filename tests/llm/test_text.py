@@ -230,6 +230,24 @@ def test_bpe_of_many_long_words():
     assert encoder.encode([" ".join(words)])[0].tolist() == library.encode_ordinary(" ".join(words))
 
 
+def test_bpe_of_very_long_words(monkeypatch):
+    """Parts between places that no token crosses, and queries that stop between rounds."""
+    import tiktoken
+
+    encoder, rng = byte_bpe.Encoder(RANKS, PATTERN), random.Random(5)
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=encoder.ranks, special_tokens={})
+    tokens = [t.decode() for t in encoder.ranks if t.isalpha() and t.isascii()]
+    texts = ["".join(rng.choice(tokens) for _ in range(3000)), "".join(rng.choice("etaoin") for _ in range(9000)), "=" * 20_001, "日本語の文章" * 900, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(40_000))]
+    want = [library.encode_ordinary(t) for t in texts]
+    assert [x.tolist() for x in encoder.encode(texts)] == want
+    word = texts[0].encode()
+    assert b"".join(encoder.parts(word)) == word and len(encoder.parts(word)) > 100
+    monkeypatch.setattr(byte_bpe, "LONGEST", 3)
+    monkeypatch.setattr(byte_bpe, "LETTERS", 4000)
+    monkeypatch.setattr(byte_bpe, "QUERY_ROWS", 20_000)
+    assert [x.tolist() for x in byte_bpe.Encoder(RANKS, PATTERN).encode(texts)] == want
+
+
 # secrets
 
 def plain_secrets(t):
