@@ -8,7 +8,9 @@ the same bytes, all but the earliest are repeats. What is left, runs that share
 somewhere, goes to shards by key: within a shard, the spanned bytes are put in suffix order by
 induced sorting, permuted common prefixes show which starts have LENGTH bytes in common, and all
 but the earliest of those are repeats. A key with very many different runs is divided over several
-shards by the strings' own hashes, so that no shard grows with the corpus.
+shards by the strings' own hashes. Of equal strings, a task sends the first on with its bytes and
+the others as mere places, and a shard drops the rest as they stream in sorted, so neither a shard's
+size nor what is held grows with the number of places where one string occurs.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from .induced_sort import common_prefixes, suffix_order
 LENGTH, GRAM = 100, 32
 #: Different runs of a key before it is divided; bytes sorted at once.
 CROWD, SHARD_BYTES = 4000, 800_000
+#: Strings that a task remembers to have sent on.
+SENT = 30_000
 _BATCH_BYTES = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -116,8 +120,11 @@ def _all_runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _snippets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes of wanted runs, whole, or start by start where their key is divided; a bounded part at a time."""
+    """The bytes of wanted runs, whole, or start by start where their key is divided; a bounded part
+    at a time. A start whose string this task has sent on from an earlier place is a repeat, and
+    comes without its bytes."""
     rows, held = [], 0
+    sent: dict[bytes, tuple[int, int]] = {}
 
     def done() -> pd.DataFrame:
         return pd.DataFrame(rows, columns=["key", "shard", "doc", "start", "starts", "content"]).astype({"shard": "int64"})
@@ -133,6 +140,16 @@ def _snippets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 else:
                     for s in range(start, start + n):
                         piece = raw[s : s + LENGTH]
+                        if piece in sent and sent[piece] < (doc, s):
+                            before = rows[-1] if rows else None
+                            if before and before[5] is None and before[2] == doc and before[3] + before[4] == s:
+                                rows[-1] = (*before[:4], before[4] + 1, None)
+                            else:
+                                rows.append((key, s, doc, s, 1, None))
+                            continue
+                        if len(sent) >= SENT:
+                            sent.clear()
+                        sent[piece] = (doc, s)
                         shard = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little") % shards
                         rows.append((key, shard, doc, s, 1, piece))
                 held += n + LENGTH
@@ -181,15 +198,29 @@ def repeats(doc: np.ndarray, start: np.ndarray, starts: np.ndarray, content: lis
 
 
 def _sorted_shards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Repeats in rows that come sorted by key and shard; batches end between keys."""
+    """Repeats in rows that come sorted by key, shard, content and place; batches end between keys.
+    Rows without content are repeats, as are those whose key and content are those of the row before."""
     held: list[pd.DataFrame] = []
-    size = 0
+    size, before = 0, None
 
     def done(frame: pd.DataFrame) -> pd.DataFrame:
         d, s, n = repeats(frame["doc"].to_numpy(np.int64), frame["start"].to_numpy(np.int64), frame["starts"].to_numpy(np.int64), frame["content"].tolist())
         return pd.DataFrame({"doc": d, "start": s.astype(np.int32), "starts": n.astype(np.int32)})
 
     for frame in frames:
+        known = frame["content"].isna().to_numpy()
+        if known.any():
+            yield frame.loc[known, ["doc", "start", "starts"]]
+            frame = frame[~known]
+        if not len(frame):
+            continue
+        content, by = frame["content"].to_numpy(), frame[["key", "shard"]].to_numpy()
+        again = np.append(False, (content[1:] == content[:-1]) & (by[1:] == by[:-1]).all(axis=1))
+        again[0] = before is not None and before == (*by[0], content[0])
+        before = (*by[-1], content[-1])
+        if again.any():
+            yield frame.loc[again, ["doc", "start", "starts"]]
+            frame = frame[~again]
         if not len(frame):
             continue
         held.append(frame)
@@ -226,8 +257,9 @@ def repeated_starts(source: DataFrame) -> DataFrame:
     texts = source.join(small(wanted.select("doc")), "doc", "left_semi")
     # arrays of numbers, not of structs, which Python would hold as dictionaries
     asked = texts.join(wanted, "doc").select("doc", "text", *[F.col(f"wanted.{c}").alias(c) for c in ("key", "start", "starts", "shards")])
-    snippets = asked.mapInPandas(_snippets, "key long, shard long, doc long, start int, starts int, content binary")
-    dealt = snippets.repartition("key", "shard").sortWithinPartitions("key", "shard")
+    # in order, so that a task that runs again sends on the same places
+    snippets = asked.sortWithinPartitions("doc").mapInPandas(_snippets, "key long, shard long, doc long, start int, starts int, content binary")
+    dealt = snippets.repartition("key", "shard").sortWithinPartitions("key", "shard", "content", "doc", "start")
     sorted_out = dealt.mapInPandas(_sorted_shards, "doc long, start int, starts int")
     return alike.unionByName(copies).unionByName(sorted_out)
 

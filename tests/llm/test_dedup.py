@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from genpulse.llm import exact_dedup, induced_sort, line_dedup, near_dedup, substring_dedup
@@ -134,6 +135,29 @@ def test_substring_dedup_with_divided_keys(spark, docs, monkeypatch):
     assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == brute_substrings(text_of(docs))
 
 
+def test_substring_dedup_of_one_string_in_many_contexts(spark, words, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CROWD", 50)
+    shared = (" ".join(words[:40]) + " ")[:120]
+    texts = {i: " ".join(words[(7 * i + k * k) % len(words)] + str(i) for k in range(12)) + shared + str(i) * 30 for i in range(1500)}
+    docs = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(8)
+    got = by_id(substring_dedup.substring_dedup(docs, with_kept=False))
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == brute_substrings(texts)
+
+
+def test_a_shard_does_not_hold_every_place_of_a_string(monkeypatch):
+    """Equal strings stream by; strings that a task sent on before come without their bytes."""
+    sorted_at_once, real = [], substring_dedup.repeats
+    monkeypatch.setattr(substring_dedup, "repeats", lambda d, s, n, content: sorted_at_once.append(sum(map(len, content))) or real(d, s, n, content))
+    texts = pd.DataFrame({"doc": range(20_000), "text": ["x" * (i % 7) + "boilerplate " * 10 for i in range(20_000)]})
+    asked = texts.assign(key=[np.array([5])] * 20_000, start=[np.array([i % 7]) for i in range(20_000)], starts=[np.array([21])] * 20_000, shards=[np.array([3])] * 20_000)
+    parts = [pd.concat(substring_dedup._snippets(iter([asked.iloc[k : k + 5000]]))) for k in range(0, 20_000, 5000)]
+    sent = pd.concat(parts, ignore_index=True)
+    assert sent["content"].notna().sum() == 4 * 12
+    rows = sent.sort_values(["key", "shard", "content", "doc", "start"], ignore_index=True)
+    found = pd.concat(substring_dedup._sorted_shards(rows.iloc[k : k + 1000] for k in range(0, len(rows), 1000)))
+    assert sum(sorted_at_once) == 12 * 100 and found["starts"].sum() == 20_000 * 21 - 12
+
+
 def test_substring_dedup_of_repeats_and_nulls(repeated, empty):
     assert {(r.n_bytes, r.n_removed) for r in substring_dedup.substring_dedup(repeated).collect()} == {(9, 0), (0, 0)}
     assert substring_dedup.substring_dedup(empty).count() == 0
