@@ -25,7 +25,7 @@ def same_as_duckdb(spark, sf_dir, query, sql):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("events", "documents", "conversations", "labels"):
+    for t in ("events", "documents", "conversations", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     df = query(spark, sf_dir)
     names = sorted(df.columns)
