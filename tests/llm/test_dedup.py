@@ -219,12 +219,23 @@ def test_fuzzy_lines_against_brute_force(spark, n, kind):
 
 
 def test_a_crowded_cell_is_compared_in_full(spark):
-    from genpulse.llm.components import pairs_across
-    from pyspark.sql import functions as F
+    from genpulse.llm.components import in_blocks
 
-    rows = spark.range(700).selectExpr("1L AS cell", "id AS node", "10 AS size", "if(id < 400, 0L, id) AS component")
-    got = pairs_across(rows, ["cell"], "size", lambda x, y: F.lit(True))
-    assert got.count() == 700 * 699 // 2 - 400 * 399 // 2
+    rows = spark.range(700).selectExpr("1L AS cell", "id AS node", "if(id < 400, 0L, id) AS component")
+    met = in_blocks(rows, ["cell"])
+    x, y = (met.selectExpr("cell", "low", "high", f"node AS {n}", f"component AS c{n}") for n in "xy")
+    pairs = x.join(y, ["cell", "low", "high"]).where("x < y AND cx <> cy").select("x", "y").distinct()
+    assert pairs.count() == 700 * 699 // 2 - 400 * 399 // 2
+
+
+def test_lines_of_clean_texts_stay_under_shared_and_null_identifiers(spark):
+    twice = "a line that stands in two documents"
+    rows = [(1, twice), (2, f"{twice}\na tail"), (2, "a precious first line of another text\nx y z"), (None, "keep this clean line please"), (None, f"{twice}\nwhat a null document says itself"), (3, twice), (3, twice)]
+    df = spark.createDataFrame([(i, t, "k", "r") for i, t in rows], "doc_id long, text string, key string, row string")
+    got = line_dedup.without_duplicate_lines(df)
+    assert got.columns == df.columns
+    want = [(1, twice), (2, "a tail"), (2, "a precious first line of another text\nx y z"), (None, "keep this clean line please"), (None, "what a null document says itself"), (3, ""), (3, "")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, want))
 
 
 def test_substring_dedup_of_long_texts_under_null_and_shared_identifiers(spark, words):
@@ -254,6 +265,11 @@ def test_near_duplicates_of_a_template_crowd(spark, words):
 
 
 def test_a_region_of_equal_keys_is_compared_in_full(spark):
+    from genpulse.llm.components import components
+
     rows = spark.range(600).selectExpr("0 AS tree", "1L AS prefix", "X'00' AS key", "id AS node", "100L AS n")
     placed = spark.range(500).selectExpr("id AS node", "0L AS component")
-    assert near_dedup._across(rows, placed).count() == 600 * 599 // 2 - 500 * 499 // 2
+    signature = "cast(repeat('a', 320) AS binary) AS signature"
+    sets = spark.range(600).selectExpr("id AS node", "sequence(1L, 100L) AS shingles", signature)
+    united = components(near_dedup._across(rows, placed, sets).unionByName(spark.range(1, 500).selectExpr("0L AS a", "id AS b")))
+    assert united.where("component = 0").count() == 600
