@@ -61,16 +61,17 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def rolling(column: str, seconds: float, least: int = 1, how: str = "mean") -> Column:
+def rolling(column: str, seconds: float, least: int = 1, how: str = "mean", by: tuple[str, ...] = (KEY,)) -> Column:
     """mean, std (sample) or sum over the rows of the last `seconds`, the bound itself excluded, up to
     the row and not to its last peer; null with fewer than `least` values.
 
     A frame is the difference of two running sums: all up to the row, less all up to the bound. Sums
-    are decimal and exact, so a long series loses no digits; readings are taken to PLACES places,
-    below 10**9, and a frame's sum must stay below 10**12."""
-    upto = so_far(series())
-    past = Window.partitionBy(KEY).orderBy(F.unix_micros(TIME)).rangeBetween(Window.unboundedPreceding, -int(seconds * 1_000_000))
-    x = F.col(column).cast(f"decimal(15,{PLACES})")
+    are decimal and exact, so a long series loses no digits. Readings are taken to PLACES places: one
+    of 10**9 or more, NaN or infinity counts as missing, and one below half of the last place as 0.
+    A frame's sum must stay below 10**12. by: the columns that part the rows into series."""
+    upto = so_far(Window.partitionBy(*by).orderBy(TIME, ROW))
+    past = Window.partitionBy(*by).orderBy(F.unix_micros(TIME)).rangeBetween(Window.unboundedPreceding, -int(seconds * 1_000_000))
+    x = F.col(column).try_cast(f"decimal(15,{PLACES})")
     within = lambda f, v: f(v).over(upto) - F.coalesce(f(v).over(past), F.lit(0))
     n, total = within(F.count, x), within(F.sum, x)
     if how == "sum":
@@ -100,6 +101,14 @@ def interpolated(column: str, limit: int) -> Column:
     here = F.when(F.col(column).isNotNull(), F.struct(place.alias("n"), F.col(column).alias("x")))
     back, ahead = (F.last(here, ignorenulls=True).over(so_far(order)) for order in (series(), reversed_series()))
 
+    around = F.struct(back.alias("back"), ahead.alias("ahead"), place.alias("place"))
+    return F.when(F.col(column).isNotNull(), F.col(column)).otherwise(on_line(around, limit))
+
+
+def on_line(around: Column, limit: int) -> Column:
+    """The value at `place` between the known rows (n, x) `back` and `ahead`, any of them null, where
+    it is at most `limit` rows from either; around: a struct of the three."""
+
     def filled(row: Column) -> Column:
         back, ahead, place = row["back"], row["ahead"], row["place"]
         near_back, near_ahead = place - back["n"] <= limit, ahead["n"] - place <= limit
@@ -110,8 +119,7 @@ def interpolated(column: str, limit: int) -> Column:
             .when(ahead.isNotNull(), F.when(near_ahead, ahead["x"]))
         )
 
-    around = F.struct(back.alias("back"), ahead.alias("ahead"), place.alias("place"))
-    return F.when(F.col(column).isNotNull(), F.col(column)).otherwise(bound(around, filled))
+    return bound(around, filled)
 
 
 def cumulative(column: str) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.series import KEY, asof, change, flag, micros, rolling, rolling_rows, seconds_since_last
+from ..functions import segments
+from ..functions.series import KEY, change, flag, micros, rolling, rolling_rows, seconds_since_last
 from ..sources.tables import SENSORS
 
 ERROR_BINS = [(10, "<=10"), (25, "10-25"), (50, "25-50"), (100, "50-100"), (250, "100-250"), (500, "250-500"), (None, ">500")]
@@ -25,33 +26,37 @@ def calendar(df: DataFrame) -> DataFrame:
     return out.withColumn("is_weekend", (F.col("weekday") >= 5).cast("int")).withColumns(cyclic)
 
 
-def target(df: DataFrame, hours: float = 3, tolerance_minutes: float = 5) -> DataFrame:
+def target(df: DataFrame, hours: float = 3, tolerance_minutes: float = 5, segment: float = segments.SEGMENT) -> DataFrame:
     """df with target_fuel, target_us, target_minutes and target_available: the first valid fuel
-    level of the same generator at or within tolerance after `hours` later."""
+    level of the same generator at or within tolerance after `hours` later. segment: seconds of a
+    series that one task joins."""
     valid = df.where("fuel_level_l >= 0").select(KEY, "timestamp", "row_id", "fuel_level_l")
     later = F.timestamp_micros(micros() + int(hours * 3600e6))
-    out = asof(df, valid, later, True, tolerance_minutes * 60, "fuel_level_l", "target_fuel", "target_us")
+    out = segments.asof(df, valid, later, True, tolerance_minutes * 60, "fuel_level_l", "target_fuel", "target_us", segment)
     minutes = (F.col("target_us") - micros() - int(hours * 3600e6)) / 60e6
     return out.withColumns({"target_minutes": minutes, "target_available": F.col("target_fuel").isNotNull()})
 
 
-def persistence(df: DataFrame) -> DataFrame:
+def persistence(df: DataFrame, segment: float = segments.SEGMENT) -> DataFrame:
     """df with persistence: the last valid fuel level at or before a row. Of packets at one time, the largest."""
     history = df.where("fuel_level_l >= 0").groupBy(KEY, "timestamp").agg(F.max("fuel_level_l").alias("fuel_level_l"), F.max("row_id").alias("row_id"))
-    return asof(df, history, F.col("timestamp"), False, None, "fuel_level_l", "persistence", "persistence_us")
+    return segments.asof(df, history, F.col("timestamp"), False, None, "fuel_level_l", "persistence", "persistence_us", segment)
 
 
-def windowed(df: DataFrame, minutes: tuple[int, ...] = (5, 15, 30, 60), least: int = 3, more: tuple[str, ...] = ()) -> DataFrame:
-    """Mean and standard deviation of each sensor over the last minutes, and means of the columns in more."""
-    names = {}
+def windowed(df: DataFrame, minutes: tuple[int, ...] = (5, 15, 30, 60), least: int = 3, more: tuple[str, ...] = (), segment: float | None = None) -> DataFrame:
+    """Mean and standard deviation of each sensor over the last minutes, and means of the columns in
+    more. segment: seconds of a series that one task takes; None: a generator in one task."""
+    frames = {}
     for m in minutes:
         for c in SENSORS:
             short = c.split("_")[0]
-            names[f"{short}_mean_{m}min"] = rolling(c, 60 * m, least, "mean")
-            names[f"{short}_std_{m}min"] = rolling(c, 60 * m, least, "std")
+            frames[f"{short}_mean_{m}min"] = segments.Frame(c, 60 * m, least, "mean")
+            frames[f"{short}_std_{m}min"] = segments.Frame(c, 60 * m, least, "std")
         for c in more:
-            names[f"{c}_mean_{m}min"] = rolling(c, 60 * m, least, "mean")
-    return df.withColumns(names)
+            frames[f"{c}_mean_{m}min"] = segments.Frame(c, 60 * m, least, "mean")
+    if segment is not None:
+        return segments.framed(df, frames, segment)
+    return df.withColumns({name: rolling(f.column, f.seconds, f.least, f.how) for name, f in frames.items()})
 
 
 def changes(df: DataFrame, rows: tuple[int, ...] = (15, 30, 60), refill: float = 50.0) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import segments
 from ..functions.series import bands, clipped, flag, interpolated, seconds_since_last
 from ..sources.tables import SENSORS
 from .profile import gap_category
@@ -23,18 +24,22 @@ def short_gaps_filled(df: DataFrame, limit: int = 2) -> DataFrame:
     return out.withColumn("estimated_fields", F.concat_ws(";", *filled)).withColumn("is_estimated", F.col("estimated_fields") != "")
 
 
-def imputed(df: DataFrame, limit: int = 10, stopped_is_zero: bool = False) -> DataFrame:
+def imputed(df: DataFrame, limit: int = 10, stopped_is_zero: bool = False, segment: float | None = None) -> DataFrame:
     """df with readings filled in line by row position, and a flag for each that was.
 
     stopped_is_zero: a missing current or voltage of a stopped generator is 0 before the line is
     drawn. A missing status, or one that says nothing, becomes running, stopped or unknown after
     estimated_status. imputation_confidence falls with each filled reading and with telemetry quality.
+    segment: seconds of a series that one task takes; None: a generator in one task.
     """
     out = df
     if stopped_is_zero:
         zero = F.col("estimated_status") == "Stopped"
         out = out.withColumns({c: F.when(F.col(c).isNull() & zero, 0.0).otherwise(F.col(c)) for c in ("current", "battery_voltage")})
-    out = out.withColumns({f"_{c}": interpolated(c, limit) for c in SENSORS})
+    if segment is None:
+        out = out.withColumns({f"_{c}": interpolated(c, limit) for c in SENSORS})
+    else:
+        out = segments.scan(out, {f"_{c}": segments.line(c, limit) for c in SENSORS}, segment)
     flags = {f"{short}_imputed": df_null(c) & F.col(f"_{c}").isNotNull() for c, short in SHORT.items()}
     silent = F.col("status").isNull() | F.lower(F.trim("status")).isin("unknown", "nan", "none")
     state = F.lower(F.coalesce("estimated_status", F.lit("")))

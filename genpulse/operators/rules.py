@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.series import KEY, bands, change, clipped, flag, rolling_rows, seconds_since_last, series
+from ..functions import segments
+from ..functions.series import KEY, bands, change, clipped, flag, micros, rolling_rows, seconds_since_last, series
 from .timeline import duplicate_marks
 
 # Messages of the rules, in the order in which they are listed.
@@ -68,9 +69,18 @@ ADVICE = {
 }
 
 
-def with_deltas(df: DataFrame) -> DataFrame:
-    """df with fuel_delta, current_delta, voltage_delta, time_delta_sec and consumption rates."""
-    out = df.withColumns({"fuel_delta": change("fuel_level_l"), "current_delta": change("current"), "voltage_delta": change("battery_voltage"), "time_delta_sec": seconds_since_last()})
+DELTAS = {"fuel_delta": "fuel_level_l", "current_delta": "current", "voltage_delta": "battery_voltage"}
+
+
+def with_deltas(df: DataFrame, segment: float | None = None) -> DataFrame:
+    """df with fuel_delta, current_delta, voltage_delta, time_delta_sec and consumption rates.
+    segment: seconds of a series that one task takes; None: a generator in one task."""
+    if segment is None:
+        out = df.withColumns({name: change(c) for name, c in DELTAS.items()} | {"time_delta_sec": seconds_since_last()})
+    else:
+        before = {c: f"_before_{c}" for c in (*DELTAS.values(), "timestamp")}
+        out = segments.scan(df, {b: segments.lag(c) for c, b in before.items()}, segment)
+        out = out.withColumns({name: F.col(c) - F.col(before[c]) for name, c in DELTAS.items()} | {"time_delta_sec": (micros() - micros(before["timestamp"])) / 1e6}).drop(*before.values())
     per_second = F.try_divide(-F.col("fuel_delta"), "time_delta_sec")
     return out.withColumns({"fuel_rate_lps": per_second, "fuel_rate_lph": per_second * 3600})
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import segments
 from ..functions.series import KEY, filled_both_ways, micros
 from ..sources.tables import READINGS
 
@@ -35,17 +36,22 @@ def duplicate_marks(df: DataFrame) -> DataFrame:
     return df.withColumn("timestamp_duplicate", F.count(F.lit(1)).over(Window.partitionBy(KEY, "timestamp")) > 1)
 
 
-def regular(df: DataFrame, step_seconds: int | DataFrame) -> DataFrame:
+def regular(df: DataFrame, step_seconds: int | DataFrame, segment: float | None = None) -> DataFrame:
     """Every generator on a grid from its first to its last timestamp, readings joined where they
     fall on it exactly. step_seconds: a number, or a table (generator_id, interval). Sites are
-    carried to inserted rows. Timestamps must be unique; resolve duplicates first."""
+    carried to inserted rows. Timestamps must be unique; resolve duplicates first. segment: seconds of
+    a series over which one task carries sites; None: a generator in one task."""
     span = df.groupBy(KEY).agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
     if isinstance(step_seconds, DataFrame):
         span = span.join(step_seconds.select(KEY, "interval"), KEY)
     else:
         span = span.withColumn("interval", F.lit(step_seconds))
     grid = span.select(KEY, F.col("interval").alias("reporting_interval_sec"), F.explode(F.expr("sequence(a, b, make_dt_interval(0, 0, 0, interval))")).alias("timestamp"))
-    out = grid.join(df, [KEY, "timestamp"], "left").withColumn("site_name", filled_both_ways("site_name"))
+    out = grid.join(df, [KEY, "timestamp"], "left")
+    if segment is None:
+        out = out.withColumn("site_name", filled_both_ways("site_name"))
+    else:
+        out = segments.scan(out, {"site_name": segments.either_known("site_name")}, segment)
     inserted = F.lit(True)
     for c in READINGS:
         inserted = inserted & F.col(c).isNull()

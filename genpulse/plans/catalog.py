@@ -381,4 +381,4 @@ def maintenance_priorities(spark, sf_dir):
     return rules.counts_by(healthy(spark, sf_dir), "maintenance_priority")
 
 
-from . import checks  # noqa: E402,F401  registers the queries of integrity and comparison
+from . import checks, mechanisms  # noqa: E402,F401  register more queries
