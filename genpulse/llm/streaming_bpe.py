@@ -32,6 +32,8 @@ from .packing import _byte_letters
 
 #: Symbols of a window beside the lookahead; characters of a text that are split at once; words remembered.
 BLOCK, SLICE, WORDS = 2048, 1 << 16, 300_000
+#: Symbols up to which looking through all pairs of a word is faster than keeping them in a queue.
+SHORT = 64
 #: Tokens of a row of encoded(), about.
 PART_TOKENS = 1 << 16
 
@@ -49,7 +51,8 @@ class Merges:
 
     def __init__(self, merges: Iterable[tuple[int, int, int]], size: dict[int, int]):
         """merges: (left, right, made) in order of rank; size: symbols of the tokens that no merge makes."""
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        self.pairs: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
         self.size, self.lookahead = dict(size), 1
         first: dict[int, int] = {}
         reach: dict[int, int] = {}
@@ -61,26 +64,43 @@ class Merges:
                 furthest, edge = max(furthest, reach.get(edge, 0)), first.get(edge)
             reach[u] = max(reach.get(u, 0), self.size[u] + furthest)
             self.lookahead = max(self.lookahead, reach[u])
-            self.pairs[u, v], self.size[made], first[made] = (rank, made), self.size[u] + self.size[v], u
+            self.pairs[u, v], self.size[made], first[made] = rank, self.size[u] + self.size[v], u
+            self.made.append(made)
 
     def apply(self, symbols: list[int]) -> list[int]:
         """Tokens of symbols: the leftmost pair of least rank is merged until none is left."""
+        return self._scanned(symbols) if len(symbols) <= SHORT else self._queued(symbols)
+
+    def _scanned(self, symbols: list[int]) -> list[int]:
+        rank, made, none, tokens = self.pairs.get, self.made, len(self.made), list(symbols)
+        ranks = [rank(p, none) for p in zip(tokens, tokens[1:])]
+        while ranks and (least := min(ranks)) < none:
+            k = ranks.index(least)
+            tokens[k : k + 2] = [made[least]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank((tokens[k - 1], tokens[k]), none)
+            if k < len(ranks):
+                ranks[k] = rank((tokens[k], tokens[k + 1]), none)
+        return tokens
+
+    def _queued(self, symbols: list[int]) -> list[int]:
         n, pairs, tokens = len(symbols), self.pairs, list(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(p[0], k, p[1]) for k, p in enumerate(map(pairs.get, zip(symbols, symbols[1:]))) if p]
+        queue = [(rank, k) for k, rank in enumerate(map(pairs.get, zip(symbols, symbols[1:]))) if rank is not None]
         heapify(queue)
         while queue:
-            rank, k, made = heappop(queue)
+            rank, k = heappop(queue)
             j = after[k]
-            if tokens[k] < 0 or j == n or (found := pairs.get((tokens[k], tokens[j]))) is None or found[0] != rank:
+            if tokens[k] < 0 or j == n or pairs.get((tokens[k], tokens[j])) != rank:
                 continue
-            tokens[k], tokens[j], after[k] = made, -1, after[j]
+            tokens[k], tokens[j], after[k] = self.made[rank], -1, after[j]
             if after[j] < n:
                 before[after[j]] = k
-                if found := pairs.get((made, tokens[after[j]])):
-                    heappush(queue, (found[0], k, found[1]))
-            if before[k] >= 0 and (found := pairs.get((tokens[before[k]], made))):
-                heappush(queue, (found[0], before[k], found[1]))
+                if (found := pairs.get((tokens[k], tokens[after[j]]))) is not None:
+                    heappush(queue, (found, k))
+            if before[k] >= 0 and (found := pairs.get((tokens[before[k]], tokens[k]))) is not None:
+                heappush(queue, (found, before[k]))
         return [t for t in tokens if t >= 0]
 
 
@@ -113,6 +133,27 @@ class Transducer:
         return self.merges.apply(held)
 
 
+class Remembered(dict):
+    """What has been worked out, in two generations: when the younger is full it becomes the older,
+    and what is asked for again moves over. So common words stay, however many rare ones pass."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def found(self, key: str) -> bytes | None:
+        """The value of a key that may be in either generation, which is in the younger after that."""
+        value = self.get(key)
+        if value is None and (value := self.older.pop(key, None)) is not None:
+            self[key] = value
+        return value
+
+    def aged(self) -> None:
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+
+
 class StreamingEncoder:
     """Ids of texts under a lower-casing BPE tokenizer with word ends, whose splits never cross
     ASCII white space, in parts of bounded size."""
@@ -145,7 +186,7 @@ class StreamingEncoder:
         self.special = {t["content"]: t["id"] for t in config["added_tokens"]}
         self._specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.tokens = {i: t for t, i in ids.items()} | {i: t for t, i in self.special.items()}
-        self.limit, self.known, self.pieces = limit, {}, {}
+        self.known, self.pieces = Remembered(limit), Remembered(limit)
 
     @staticmethod
     @cache
@@ -185,7 +226,7 @@ class StreamingEncoder:
         return [piece for piece, _ in self.split(self.normalise(word))]
 
     def _whole(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+        ids = self.pieces.found(piece)
         if ids is None:
             out = [t for part in self.transducer.feed([self.symbols[c] for c in piece]) for t in part]
             ids = array("I", out + self.transducer.finish()).tobytes()
@@ -208,14 +249,15 @@ class StreamingEncoder:
         """Ids of the text, as little-endian 32-bit numbers, in parts that together are all of them."""
         going_on = False
         for piece, open_ended in self._cuts(text):
-            if len(self.known) + len(self.pieces) > self.limit:
-                self.known, self.pieces = {}, {}
+            self.known.aged()
+            self.pieces.aged()
             words, known = self._words.findall(piece), self.known
             if going_on or open_ended:
                 yield from self._in_parts(words, going_on, open_ended)
             else:
                 for w in {w for w in words if w not in known}:
-                    known[w] = self._word(w)
+                    if known.found(w) is None:
+                        known[w] = self._word(w)
                 yield b"".join([known[w] for w in words])
             going_on = open_ended
 
@@ -249,10 +291,10 @@ class Decoder:
 
         self.tokens, self.plain, self.begun = tokens, plain, False
         self.bytes = codecs.getincrementaldecoder("utf-8")("replace")
-        self.letters = {letter: b for b, letter in _byte_letters().items()}
+        self.letters = {letter: b for b, letter in _byte_letters().items()} if plain else {}
 
     def feed(self, ids: Iterable[int]) -> str:
-        words = [self.tokens[i] for i in ids if i in self.tokens]
+        words = list(filter(None, map(self.tokens.get, ids)))
         if not self.plain:
             text = " ".join(words)
             begun, self.begun = self.begun, self.begun or bool(words)
