@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.selection import percentiles
 from ..functions.series import KEY, bands, clipped, seconds_since_last
 from ..sources.tables import SENSORS
 
@@ -27,9 +28,13 @@ def cadence(df: DataFrame, longest: float = 300.0, least_samples: int = 30, defa
         F.first("base").alias("base"),
         F.count(F.lit(1)).alias("samples"),
         F.count_if(close).alias("cluster"),
-        F.expr("percentile(CASE WHEN %s THEN gap END, 0.5)" % f"abs(gap - base) <= greatest({refine}D, {refine_share}D * base)").alias("middle"),
-        F.min("gap").alias("least"), F.max("gap").alias("most"), F.avg("gap").alias("mean"), F.percentile("gap", 0.5).alias("median"), F.stddev_pop("gap").alias("spread"),
+        F.min("gap").alias("least"), F.max("gap").alias("most"), F.avg("gap").alias("mean"), F.stddev_pop("gap").alias("spread"),
     )
+    # both medians at once: of all gaps, and of those near the base
+    kinds = near.select(KEY, "gap", F.explode(F.when(wide, F.array(F.lit("median"), F.lit("middle"))).otherwise(F.array(F.lit("median")))).alias("kind"))
+    medians = percentiles(kinds, "gap", [0.5], [KEY, "kind"]).groupBy(F.col(KEY).alias("_of"))
+    medians = medians.agg(*[F.max(F.when(F.col("kind") == k, F.col("q")[0])).alias(k) for k in ("median", "middle")])
+    stats = stats.join(medians, F.col(KEY).eqNullSafe(F.col("_of")), "left").drop("_of")
     all_ids = df.select(KEY).distinct()
     out = all_ids.join(stats, KEY, "left").withColumn("samples", F.coalesce("samples", F.lit(0)).cast("long"))
     enough = F.col("samples") >= least_samples

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import segments
+from ..functions.selection import at_places, percentiles
 from ..functions.series import KEY, change, flag, micros, rolling, rolling_rows, seconds_since_last
 from ..sources.tables import SENSORS
 
@@ -104,24 +105,16 @@ def split(df: DataFrame, train: float = 0.7, validation: float = 0.15) -> DataFr
 
 def global_split(df: DataFrame, train: float = 0.7, validation: float = 0.15) -> DataFrame:
     """df with split by place in the order of (timestamp, row_id) over all generators. The two
-    bounds are exact: rows are counted by hour, and only the hour that holds a bound is sorted, so
-    no single task sorts the table. The counts are one row an hour, whatever the number of rows."""
-    hour = F.floor(micros() / 3_600_000_000)
-    counts = sorted((r.h, r.n) for r in df.where("timestamp IS NOT NULL").groupBy(hour.alias("h")).agg(F.count(F.lit(1)).alias("n")).collect())
-    total = sum(n for _, n in counts)
-
-    def last(place: int) -> Column:
-        """Whether a row is among the first `place`."""
-        before = 0
-        for h, n in counts:
-            if before + n >= place > before:
-                rows = df.where(hour == h).select(micros().alias("t"), "row_id").orderBy("t", "row_id").limit(place - before)
-                t, row = rows.agg(F.max(F.struct("t", "row_id"))).first()[0]
-                return (micros() < t) | ((micros() == t) & (F.col("row_id") <= row))
-            before += n
-        return F.lit(False)
-
-    first, second = last(int(total * train)), last(int(total * (train + validation)))
+    bounds are exact: the time at a bound's place is selected, and then, among the rows of that time,
+    the row. No task sorts the table or a part of it that grows with it."""
+    known = df.where("timestamp IS NOT NULL")
+    total = known.count()
+    places = [p for p in (int(total * train), int(total * (train + validation))) if p]
+    times = [int(t) for t in at_places(known, micros(), places)] if places else []
+    before = known.agg(*[F.count_if(micros() < t) for t in times]).first() if times else []
+    rows = [int(at_places(known.where(micros() == t), F.col("row_id"), [p - n])[0]) for p, t, n in zip(places, times, before)]
+    among = [(micros() < t) | ((micros() == t) & (F.col("row_id") <= r)) for t, r in zip(times, rows)]
+    first, second = [F.lit(False)] * (2 - len(among)) + among
     return df.withColumn("split", F.when(first, "train").when(second, "validation").otherwise("test"))
 
 
@@ -191,9 +184,12 @@ def metrics(df: DataFrame, by: list[str] | None = None, truth: str = "target_fue
     out = df.where(e.isNotNull()).groupBy(*(by or [])).agg(
         F.count(F.lit(1)).alias("n"), F.avg("absolute_error").alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
         (1 - F.try_divide(F.sum(e * e), F.sum(y * y) - F.count(F.lit(1)) * F.avg(y) * F.avg(y))).alias("r2"),
-        F.avg("error").alias("bias"), F.percentile("absolute_error", 0.5).alias("median"), F.max("absolute_error").alias("most"),
-        (100 * F.avg(F.when(F.abs(y) > 1e-6, F.abs(e / y)))).alias("mape"),
+        F.avg("error").alias("bias"), F.max("absolute_error").alias("most"), (100 * F.avg(F.when(F.abs(y) > 1e-6, F.abs(e / y)))).alias("mape"),
     )
+    middle = percentiles(df.where(e.isNotNull()), "absolute_error", [0.5], by)
+    middle = middle.select(*[F.col(c).alias(f"_of_{c}") for c in by or []], F.col("q")[0].alias("median"))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by or []] or F.lit(True)
+    out = out.join(middle, same, "left").drop(*[f"_of_{c}" for c in by or []])
     return out.withColumns({c: F.round(c, 4) for c in ("mae", "rmse", "r2", "bias", "median", "most", "mape")})
 
 
@@ -205,7 +201,7 @@ def tolerance_curve(df: DataFrame) -> DataFrame:
 
 def error_percentiles(df: DataFrame) -> DataFrame:
     marks = [0.5, 0.75, 0.9, 0.95, 0.99, 0.999]
-    q = df.agg(F.percentile("absolute_error", F.array(*map(F.lit, marks))).alias("q"))
+    q = percentiles(df, "absolute_error", marks)
     return q.select(F.posexplode("q").alias("k", "value")).select(F.element_at(F.array(*map(F.lit, marks)), F.col("k") + 1).alias("mark"), F.round("value", 4).alias("value"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.selection import percentiles
 from ..functions.series import KEY, micros, seconds_since_last
 from ..sources.tables import READINGS
 
@@ -89,6 +90,8 @@ def status_crosstab(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, standard deviation, extremes and exact quartiles of each column, one row each."""
     stats = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "least": F.min, "most": F.max}
-    measured = [F.struct(F.lit(c).alias("feature"), *[f(c).cast("double").alias(k) for k, f in stats.items()], *[F.percentile(c, q).alias(k) for k, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]) for c in columns]
+    measured = [F.struct(F.lit(c).alias("feature"), *[f(c).cast("double").alias(k) for k, f in stats.items()]) for c in columns]
     rows = df.agg(F.array(*measured).alias("all")).select(F.explode("all").alias("r")).select("r.*")
+    quartiles = percentiles(df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value"), "value", [0.25, 0.5, 0.75], ["feature"])
+    rows = rows.join(quartiles, "feature", "left").withColumns({f"p{p}": F.col("q")[k] for k, p in enumerate((25, 50, 75))}).drop("q")
     return rows.withColumns({c: F.round(c, 4) for c in rows.columns if c != "feature"})

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import segments
+from ..functions.selection import percentiles
 from ..functions.series import KEY, bands, change, clipped, flag, micros, rolling_rows, seconds_since_last, series
 from .timeline import duplicate_marks
 
@@ -136,7 +137,10 @@ def estimated_state(df: DataFrame) -> DataFrame:
 
 def learned_thresholds(df: DataFrame, least: int = 10) -> DataFrame:
     """low, medium and high current of each generator: quartiles of what flows while it runs."""
-    per = df.groupBy(KEY).agg(F.count_if(F.col("current") > 1).alias("n"), F.expr("percentile(CASE WHEN current > 1 THEN current END, array(0.25, 0.5, 0.75))").alias("q"))
+    flowing = F.when(F.col("current") > 1, F.col("current"))
+    counts = df.groupBy(KEY).agg(F.count(flowing).alias("n"))
+    quartiles = percentiles(df, flowing, [0.25, 0.5, 0.75], [KEY]).withColumnRenamed(KEY, "_of")
+    per = counts.join(quartiles, F.col(KEY).eqNullSafe(F.col("_of")), "left")
     pick = lambda k, default: F.when(F.col("n") >= least, F.col("q")[k]).otherwise(F.lit(default))
     return per.select(KEY, pick(0, 20.0).alias("low"), pick(1, 60.0).alias("medium"), pick(2, 120.0).alias("high"))
 
