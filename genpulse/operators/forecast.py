@@ -193,6 +193,20 @@ def metrics(df: DataFrame, by: list[str] | None = None, truth: str = "target_fue
     return out.withColumns({c: F.round(c, 4) for c in ("mae", "rmse", "r2", "bias", "median", "most", "mape")})
 
 
+def beside_persistence(predicted: DataFrame, history: DataFrame, by: str = KEY) -> DataFrame:
+    """metrics() of predictions in each group, with persistence_mae of the last valid fuel level in
+    history over the rows that have one, and by how many percent the model's error is smaller there.
+    predicted has row_id, and its rows are rows of history too."""
+    last = persistence(history).select(F.col("row_id").alias("_row"), "persistence")
+    both = predicted.join(last, F.col("row_id") == F.col("_row"), "left").drop("_row")
+    off = with_errors(both)
+    theirs = F.abs(F.col("persistence") - F.col("target_fuel"))
+    ours = F.when(theirs.isNotNull(), F.col("absolute_error"))
+    side = off.groupBy(F.col(by).alias("_of")).agg(F.avg(theirs).alias("persistence_mae"), F.avg(ours).alias("_ours"))
+    side = side.withColumn("improvement", F.round(100 * F.try_divide(F.col("persistence_mae") - F.col("_ours"), "persistence_mae"), 4)).withColumn("persistence_mae", F.round("persistence_mae", 4))
+    return metrics(off, [by]).join(side.drop("_ours"), F.col(by).eqNullSafe(F.col("_of")), "left").drop("_of")
+
+
 def tolerance_curve(df: DataFrame) -> DataFrame:
     """Percent of errors within each tolerance, in one pass."""
     one = df.where("error IS NOT NULL").agg(*[(100 * F.avg((F.col("absolute_error") <= t).cast("double"))).alias(str(t)) for t in TOLERANCES])

@@ -343,14 +343,6 @@ def feature_selection(spark, sf_dir):
     return fc.selected_features(t, names)
 
 
-@query()
-def boosted_tree_forecast(spark, sf_dir):
-    t = fc.split(fc.target(fc.windowed(rules.with_deltas(src.telemetry(spark, sf_dir)), (360,)), 3, 60)).where("target_available")
-    names = [*src.SENSORS, "fuel_delta", "fuel_mean_360min", "fuel_std_360min", "current_mean_360min"]
-    model = fc.boosted_trees(t.where("split = 'train'"), names, trees=10, depth=4)
-    return fc.metrics(fc.with_errors(fc.predict(model, t.where("split = 'test'"), names)))
-
-
 @query(sql.FLEET)
 def fleet_overview(spark, sf_dir):
     return dash.fleet(healthy(spark, sf_dir))

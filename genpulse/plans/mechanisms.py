@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import segments as seg
 from ..functions import series as s
+from ..operators import boosting as gb
 from ..operators import forecast as fc
 from ..operators import impute, rules, timeline
 from ..sources import tables as src
+from ..sources.scratch import stored
 from . import oracles as sql
 from .catalog import MINUTES, checked, query
 
@@ -65,3 +67,46 @@ def segmented_target(spark, sf_dir):
 def segmented_persistence(spark, sf_dir):
     t = fc.persistence(src.telemetry(spark, sf_dir), segment=DAYS)
     return t.select("row_id", "persistence", F.round((s.micros() - F.col("persistence_us")) / 1e6, 6).alias("age_seconds"))
+
+
+#: Features of the fuel model.
+FEATURES = [*src.SENSORS, "fuel_delta", "current_delta", "time_delta_sec", "hour_sin", "hour_cos", "weekday", "fuel_mean_360min", "fuel_std_360min", "current_mean_360min", "fuel_mean_1440min"]
+
+
+def model_rows(spark, sf_dir):
+    """Features, target and split of the rows that have a target."""
+    t = fc.calendar(fc.windowed(rules.with_deltas(src.telemetry(spark, sf_dir)), MINUTES))
+    return stored(fc.split(fc.target(t, 3, 60)).where("target_available").select("row_id", "generator_id", "timestamp", "split", "target_fuel", *FEATURES), "model-rows")
+
+
+def model_of(rows):
+    """A model of the rows' training part, of the baseline's full size."""
+    return gb.fit(rows.where("split = 'train'"), FEATURES)
+
+
+@query()
+def boosted_tree_forecast(spark, sf_dir):
+    rows = model_rows(spark, sf_dir)
+    return fc.metrics(fc.with_errors(model_of(rows).predict(rows.where("split = 'test'"))))
+
+
+@query()
+def tuned_forecast(spark, sf_dir):
+    """Each configuration's trees and errors; the chosen one's errors on the test rows, which played no part."""
+    rows = model_rows(spark, sf_dir)
+    best, model, report = gb.tuned(rows.where("split = 'train'"), rows.where("split = 'validation'"), FEATURES)
+    off = fc.with_errors(model.predict(rows.where("split = 'test'"))).agg(F.avg("absolute_error").alias("test_mae"))
+    out = spark.createDataFrame([(*r, r[0] == best) for r in report], "config string, trees int, train_mae double, validation_mae double, chosen boolean")
+    return out.join(off.withColumn("_best", F.lit(True)), F.col("chosen") == F.col("_best"), "left").drop("_best")
+
+
+@query()
+def forecast_importances(spark, sf_dir):
+    return model_of(model_rows(spark, sf_dir)).importances(spark)
+
+
+@query()
+def generator_model_performance(spark, sf_dir):
+    """Errors of the model for each generator's test rows, and those of persistence over the same rows."""
+    rows = model_rows(spark, sf_dir)
+    return fc.beside_persistence(model_of(rows).predict(rows.where("split = 'test'")), src.telemetry(spark, sf_dir))
