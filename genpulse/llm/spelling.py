@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import only, stored
 
 #: Words of an automaton; words that one task scans with it.
-SHARD_WORDS, SLICE_WORDS = 40_000, 40_000
+SHARD_WORDS, SLICE_WORDS = 100_000, 100_000
 #: Words that share a half from which on their rests are looked up instead of compared one by one.
 CROWD = 12
 #: Different words that a task counts before it hands them on.
@@ -37,39 +37,33 @@ COUNTED = 500_000
 #: Shortest word, least number of occurrences, and how many times as common a word's form must be.
 SHORTEST, OCCURRENCES, TIMES = 6, 5, 5
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
+_RUN = "[A-Za-zÀ-ÿ]"
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
-def runs_of(text: str) -> Counter:
-    """How often each maximal run of letters occurs in text, A to Z in lower case."""
-    out: Counter = Counter()
-    for run, n in Counter(_RUN.findall(text)).items():
-        out[run.translate(_LOWER)] += n
-    return out
-
-
-def misspelt(doc_id: int | None, run: str, one_in: int) -> str:
-    """run, or run less one character where the hash of identifier and run falls on one in so many."""
-    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
-    at = h % len(run)
-    return run if h % one_in else run[:at] + run[at + 1 :]
+def runs_of(text: str, shortest: int = 1) -> Iterator[tuple[str, int]]:
+    """The maximal runs of letters of text of at least `shortest`, A to Z in lower case, with their
+    number; a run that is written in several cases comes once for each."""
+    for run, n in Counter(re.findall(f"{_RUN}{{{shortest},}}", text)).items():
+        yield (run.lower() if run.isascii() else run.translate(_LOWER)), n
 
 
 def word_counts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = SHORTEST, one_in: int | None = None) -> DataFrame:
-    """word, n of the runs of letters of all texts. one_in: one in so many pairs of document and
-    run loses a character first. Counted in each task, then by word."""
+    """word, n of the runs of letters of all texts. one_in: where the checksum of identifier and run
+    falls on one in so many, the run loses a character first. Counted in each task, then by word."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counted: Counter = Counter()
         for frame in frames:
             for i, t in zip(frame["doc_id"], frame["text"]):
-                doc_id = None if pd.isna(i) else int(i)
-                for word, n in runs_of(t or "").items():
-                    if len(word) >= shortest:
-                        word = misspelt(doc_id, word, one_in) if one_in else word
-                        if len(word) >= shortest:
-                            counted[word] += n
+                begun = zlib.crc32(f"{'' if pd.isna(i) else int(i)}:".encode())
+                for word, n in runs_of(t or "", shortest):
+                    if one_in and (h := zlib.crc32(word.encode(), begun)) % one_in == 0:
+                        at = h % len(word)
+                        word = word[:at] + word[at + 1 :]
+                        if len(word) < shortest:
+                            continue
+                    counted[word] += n
                 if len(counted) >= COUNTED:
                     yield pd.DataFrame({"word": list(counted), "n": list(counted.values())})
                     counted = Counter()
@@ -96,42 +90,20 @@ def one_edit(v: str, w: str) -> bool:
     return v[k + 1 :] == w[k + 1 :] if len(v) == len(w) else v[k:] == w[k + 1 :]
 
 
-class Halves:
-    """The words that share a half, by what is left of them."""
-
-    __slots__ = ("rests", "lookup")
-
-    def __init__(self):
-        self.rests, self.lookup = [], None
-
-    def add(self, rest: str, word: str, n: int) -> None:
-        self.rests.append((rest, word, n))
-
-    def near(self, rest: str) -> list[tuple[str, int]]:
-        """(word, n) of the words whose rest is one edit from rest."""
-        if len(self.rests) <= CROWD:
-            return [(w, n) for r, w, n in self.rests if abs(len(r) - len(rest)) <= 1 and one_edit(r, rest)]
-        if self.lookup is None:
-            self.lookup = {}
-            for k, (r, _, _) in enumerate(self.rests):
-                for s in shortened(r):
-                    self.lookup.setdefault(s, []).append(k)
-        places = {k for s in shortened(rest) for k in self.lookup.get(s, ())}
-        return [self.rests[k][1:] for k in places if one_edit(self.rests[k][0], rest)]
-
-
 class Shard:
-    """An automaton of the halves of words."""
+    """An automaton of the halves of words, each with the (rest, word, n) of the words that have it."""
 
     def __init__(self):
-        self.first: dict[str, Halves] = {}
-        self.second: dict[str, Halves] = {}
+        self.first: dict[str, list] = {}
+        self.second: dict[str, list] = {}
+        self.shortened: dict[int, dict[str, list[int]]] = {}
         self.automaton = None
 
     def add(self, word: str, n: int) -> None:
         half = len(word) // 2
-        self.first.setdefault(word[:half], Halves()).add(word[half:], word, n)
-        self.second.setdefault(word[half:], Halves()).add(word[:half], word, n)
+        a, b = word[:half], word[half:]
+        self.first.setdefault(a, []).append((b, word, n))
+        self.second.setdefault(b, []).append((a, word, n))
 
     def build(self) -> None:
         import ahocorasick
@@ -141,16 +113,30 @@ class Shard:
             self.automaton.add_word(half, (len(half), self.first.get(half), self.second.get(half)))
         self.automaton.make_automaton()
 
+    def _one_edit_off(self, having: list, rest: str) -> list[tuple[str, int]]:
+        """(word, n) of the words that have a half in common and a rest one edit from this one."""
+        if len(having) <= CROWD:
+            return [(w, n) for r, w, n in having if abs(len(r) - len(rest)) <= 1 and one_edit(r, rest)]
+        lookup = self.shortened.get(id(having))
+        if lookup is None:
+            lookup = self.shortened[id(having)] = {}
+            for k, (r, _, _) in enumerate(having):
+                for s in shortened(r):
+                    lookup.setdefault(s, []).append(k)
+        places = {k for s in shortened(rest) for k in lookup.get(s, ())}
+        return [having[k][1:] for k in places if one_edit(having[k][0], rest)]
+
     def near(self, word: str) -> dict[str, int]:
         """Words of the shard that are one edit from word, with their counts."""
         out: dict[str, int] = {}
         if not len(self.automaton):
             return out
+        last = len(word) - 1
         for end, (size, first, second) in self.automaton.iter(word):
             if first is not None and end + 1 == size:
-                out.update(first.near(word[size:]))
-            if second is not None and end + 1 == len(word):
-                out.update(second.near(word[: len(word) - size]))
+                out.update(self._one_edit_off(first, word[size:]))
+            if second is not None and end == last:
+                out.update(self._one_edit_off(second, word[: len(word) - size]))
         return out
 
 
@@ -171,7 +157,8 @@ def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if near:
                 least, form = min((-m, w) for w, m in near.items())
                 out.append((word, len(near), -least, form))
-        yield pd.DataFrame({c: [r[k] for r in out] for k, c in enumerate(("word", "n_near", "form_n", "form"))})
+        if out:
+            yield pd.DataFrame({c: [r[k] for r in out] for k, c in enumerate(("word", "n_near", "form_n", "form"))})
 
 
 def near_words(words: DataFrame, shard_words: int = SHARD_WORDS, slice_words: int = SLICE_WORDS) -> DataFrame:

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 from itertools import product
 
+import pandas as pd
 import pytest
 from helpers import same_as_duckdb
 
@@ -61,6 +62,12 @@ def test_variants_against_brute_force(spark):
     assert table(sp.spelling_variants(docs)) == want
 
 
+def test_a_frame_without_scanned_words_gives_nothing():
+    frame = pd.DataFrame({"shard": [0, 0], "slice": [0, 0], "scanned": [False, False], "word": ["abcdef", "ghijkl"], "n": [5, 6]})
+    asked = pd.DataFrame({"shard": [0, 0], "slice": [0, 0], "scanned": [True, True], "word": ["abcdeg", "zzzzzz"], "n": [5, 5]})
+    assert [r.tolist() for f in sp._scan(iter([frame, asked])) for r in f.to_numpy()] == [["abcdeg", 1, 5, "abcdef"]]
+
+
 @pytest.mark.parametrize("crowd", [0, 3, 10**9])
 def test_words_that_share_halves_are_looked_up(monkeypatch, crowd):
     monkeypatch.setattr(sp, "CROWD", crowd)
@@ -76,7 +83,7 @@ def test_words_that_share_halves_are_looked_up(monkeypatch, crowd):
 def test_misspelt_words_and_odd_rows(spark, docs, empty):
     want = Counter()
     for r in docs.collect():
-        for run, n in sp.runs_of(r.text or "").items():
+        for run, n in sp.runs_of(r.text or ""):
             h = zlib.crc32(f"{r.doc_id}:{run}".encode())
             run = run[: h % len(run)] + run[h % len(run) + 1 :] if h % 3 == 0 else run
             if len(run) >= 6:
@@ -89,7 +96,8 @@ def test_misspelt_words_and_odd_rows(spark, docs, empty):
 
 
 def test_letters_outside_ascii_keep_their_case():
-    assert sp.runs_of("ÀB×c Àb×C") == {"Àb×c": 2}
+    assert list(sp.runs_of("ÀB×c Àb×C ÀB×c ab")) == [("Àb×c", 2), ("Àb×c", 1), ("ab", 1)]
+    assert list(sp.runs_of("abcde ABCDEF1abcdefg", 6)) == [("abcdef", 1), ("abcdefg", 1)]
 
 
 def test_query_matches_its_sql(spark):
