@@ -178,6 +178,59 @@ def framed(df: DataFrame, frames: dict[str, Frame], seconds: float = SEGMENT) ->
     return out.where(F.col(_S) == F.col("_own")).drop(_K, _S, "_own")
 
 
+@dataclass(frozen=True)
+class RowFrame:
+    """mean, std, min or max of a column over the last `rows` rows, null unless all have a value."""
+
+    column: str
+    rows: int
+    how: str = "mean"
+
+
+def _state(column: str, order: WindowSpec) -> Column:
+    """What a run of rows tells of a column: number, mean, sum of squares about it, extremes."""
+    over = so_far(order)
+    x = F.col(column)
+    return F.struct(F.count(x).over(over).alias("n"), F.avg(x).over(over).alias("mean"), (F.var_pop(x).over(over) * F.count(x).over(over)).alias("m2"), F.min(x).over(over).alias("min"), F.max(x).over(over).alias("max"))
+
+
+def row_framed(df: DataFrame, frames: dict[str, RowFrame], seconds: float = SEGMENT) -> DataFrame:
+    """df with a column for each frame, at the same cost for frames of any length.
+
+    A series is cut into blocks as long as a frame. A frame is the end of one block and the beginning
+    of the next, so it is made of two states: what the block before tells from some row to its end, and
+    what a row's own block tells up to it. Both run over single blocks, and each block is brought to the
+    next one's task for one look back."""
+    out = df
+    for rows in sorted({f.rows for f in frames.values()}):
+        some = {name: f for name, f in frames.items() if f.rows == rows}
+        columns = sorted({f.column for f in some.values()})
+        placed = _placed(scan(out, {_P: place()}, seconds), seconds).withColumn(_S, F.floor((F.col(_P) - 1) / rows))
+        upto, onto = (Window.partitionBy(_K, _S).orderBy(o(_P)) for o in (F.asc, F.desc))
+        placed = placed.withColumns({f"_upto_{k}": _state(c, upto) for k, c in enumerate(columns)} | {f"_from_{k}": _state(c, onto) for k, c in enumerate(columns)})
+        both = placed.withColumn("_own", F.col(_S)).withColumn(_S, F.explode(F.array(F.col(_S), F.col(_S) + 1)))
+        back = Window.partitionBy(_K, _S).orderBy(_P)
+        both = both.withColumns({f"_from_{k}": F.lag(f"_from_{k}", rows - 1).over(back) for k in range(len(columns))} if rows > 1 else {}).where(F.col(_S) == F.col("_own"))
+        made = {name: _of_frame(f, columns.index(f.column)) for name, f in some.items()}
+        out = both.select(*[F.col(f"`{c}`") for c in out.columns if c not in made], *[x.alias(name) for name, x in made.items()])
+    return out.select(*[F.col(f"`{c}`") for c in [*[c for c in df.columns if c not in frames], *frames]])
+
+
+def _of_frame(f: RowFrame, k: int) -> Column:
+    a, b = F.col(f"_from_{k}"), F.col(f"_upto_{k}")
+    whole = F.col(_P) % f.rows == 0  # the frame is the row's own block
+    n = F.when(whole, b["n"]).otherwise(a["n"] + b["n"])
+    if f.how in ("min", "max"):
+        value = F.when(whole, b[f.how]).otherwise((F.least if f.how == "min" else F.greatest)(a[f.how], b[f.how]))
+    elif f.how == "mean":
+        value = F.when(whole, b["mean"]).otherwise((a["n"] * a["mean"] + b["n"] * b["mean"]) / n)
+    else:
+        apart = a["mean"] - b["mean"]
+        squares = F.when(whole, b["m2"]).otherwise(a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n)
+        value = F.sqrt(F.try_divide(squares, n - 1))
+    return F.when((F.col(_P) >= f.rows) & (n == f.rows), value)
+
+
 def asof(probes: DataFrame, builds: DataFrame, probe_time: Column, forward: bool, tolerance_seconds: float | None, value: str, as_value: str, as_time: str, seconds: float = SEGMENT) -> DataFrame:
     """probes with the value and time of the nearest build row of their generator at or after
     (forward) or at or before probe_time. Of build rows at one time, forward takes the first and

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import segments
+from ..functions.gram import correlations
 from ..functions.selection import at_places, percentiles
 from ..functions.series import KEY, change, flag, micros, rolling, rolling_rows, seconds_since_last
+from ..sources.scratch import stored
 from ..sources.tables import SENSORS
 
 ERROR_BINS = [(10, "<=10"), (25, "10-25"), (50, "25-50"), (100, "50-100"), (250, "100-250"), (500, "250-500"), (None, ">500")]
@@ -68,12 +70,17 @@ def changes(df: DataFrame, rows: tuple[int, ...] = (15, 30, 60), refill: float =
     return out.withColumns({"refill_signal": flag(last > refill).cast("int"), "drop_signal": flag(last < -refill).cast("int")})
 
 
-def row_features(df: DataFrame, lags: tuple[int, ...] = (1, 5, 15), windows: tuple[int, ...] = (5, 15)) -> DataFrame:
-    """Lags of each sensor, and mean, std, min and max of fuel over full windows of rows."""
+def row_features(df: DataFrame, lags: tuple[int, ...] = (1, 5, 15), windows: tuple[int, ...] = (5, 15), segment: float | None = None) -> DataFrame:
+    """Lags of each sensor, and mean, std, min and max of fuel over full windows of rows. segment:
+    seconds of a series that one task takes; windows then cost the same however long they are."""
     from ..functions.series import series
 
+    hows = ("mean", "std", "min", "max")
+    if segment is not None:
+        out = segments.scan(df, {f"{c}_lag_{n}": segments.lag(c, n) for c in SENSORS for n in lags}, segment)
+        return segments.row_framed(out, {f"fuel_{how}_{n}rows": segments.RowFrame("fuel_level_l", n, how) for n in windows for how in hows}, segment)
     out = df.withColumns({f"{c}_lag_{n}": F.lag(c, n).over(series()) for c in SENSORS for n in lags})
-    return out.withColumns({f"fuel_{how}_{n}rows": rolling_rows("fuel_level_l", n, how) for n in windows for how in ("mean", "std", "min", "max")})
+    return out.withColumns({f"fuel_{how}_{n}rows": rolling_rows("fuel_level_l", n, how) for n in windows for how in hows})
 
 
 def sensor_flags(df: DataFrame) -> DataFrame:
@@ -259,16 +266,17 @@ def target_changes(a: DataFrame, b: DataFrame, column: str = "target_fuel") -> D
 
 
 def selected_features(df: DataFrame, columns: list[str], constant: float = 0.99, missing: float = 0.5, correlation: float = 0.95, variance: float = 0.001) -> DataFrame:
-    """feature, verdict: kept, constant, missing, correlated or low_variance, the first that applies.
-
-    Correlations of all pairs, nulls left out pair by pair, come from one pass. The table of
-    features is as long as the list of columns."""
-    both = df.agg(*[F.avg(F.col(c).isNull().cast("double")) for c in columns], *[F.var_samp(c) for c in columns]).first()
-    rate, spread = dict(zip(columns, both)), dict(zip(columns, both[len(columns) :]))
+    """feature, verdict: kept, constant, missing, correlated (with a feature before it that is neither
+    constant nor missing) or low_variance, the first that applies.
+
+    The columns are stored once. Correlations of all pairs, nulls left out pair by pair, come from one
+    pass. The table of features is as long as the list of columns."""
+    values = stored(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "features")
+    facts = values.agg(F.count(F.lit(1)), *[F.avg(F.col(c).isNull().cast("double")) for c in columns], *[F.var_samp(c) for c in columns]).first()
+    n, rate, spread = facts[0], dict(zip(columns, facts[1:])), dict(zip(columns, facts[1 + len(columns) :]))
     # the commonest value of every column, from one unpivot and one shuffle
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
-    tops = dict(values.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("feature").agg(F.max("n")).collect())
-    n = df.count()
+    each = values.unpivot([], columns, "feature", "value").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    tops = dict(each.groupBy("feature").agg(F.max("n")).collect())
     verdict = {}
     for c in columns:
         if n and tops.get(c, 0) / n >= constant:
@@ -276,14 +284,20 @@ def selected_features(df: DataFrame, columns: list[str], constant: float = 0.99,
         elif (rate[c] or 0) > missing:
             verdict[c] = "missing"
     rest = [c for c in columns if c not in verdict]
-    pairs = [(i, j) for k, j in enumerate(rest) for i in rest[:k]]
-    if pairs:
-        found = df.agg(*[F.corr(F.when(F.col(j).isNotNull(), F.col(i)), F.when(F.col(i).isNotNull(), F.col(j))).alias(f"c{k}") for k, (i, j) in enumerate(pairs)]).first()
-        verdict.update({j: "correlated" for k, (_, j) in enumerate(pairs) if abs(found[k] or 0) > correlation})
+    close = {r.b for r in correlations(values, rest).where(F.abs("correlation") > correlation).select("b").distinct().collect()}
+    verdict.update(dict.fromkeys(close, "correlated"))
     verdict.update({c: "low_variance" for c in rest if c not in verdict and (spread[c] or 0) < variance})
     return df.sparkSession.createDataFrame([(c, verdict.get(c, "kept")) for c in columns], "feature string, verdict string")
 
 
+def selection_report(verdicts: DataFrame) -> DataFrame:
+    """stage, features, percent: how many of the features each filter took, and how many are kept."""
+    stages = ["constant", "missing", "correlated", "low_variance", "kept"]
+    counts = verdicts.agg(*[F.count_if(F.col("verdict") == s).alias(s) for s in stages], F.count(F.lit(1)).alias("_all"))
+    long = counts.unpivot(["_all"], stages, "stage", "features")
+    return long.select("stage", "features", F.round(100 * F.try_divide("features", "_all"), 4).alias("percent"))
+
+
 def boosted_trees(train: DataFrame, features: list[str], label: str = "target_fuel", trees: int = 50, depth: int = 5, rate: float = 0.1, seed: int = 42):
     """A fitted pipeline of gradient-boosted trees; missing features become -1, far from any reading."""
     from pyspark.ml import Pipeline

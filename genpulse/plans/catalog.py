@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import series as s
+from ..functions.gram import correlations
 from ..operators import cadence as cad
 from ..operators import dashboard as dash
 from ..operators import forecast as fc
@@ -336,11 +337,23 @@ def target_changes(spark, sf_dir):
     return fc.target_changes(fc.target(t, 3, 60), fc.target(t, 3, 30))
 
 
-@query()
+def candidates(spark, sf_dir):
+    return fc.windowed(rules.with_deltas(src.telemetry(spark, sf_dir)), MINUTES)
+
+
+@query(sql.SELECTION)
 def feature_selection(spark, sf_dir):
-    t = fc.windowed(rules.with_deltas(src.telemetry(spark, sf_dir)), MINUTES)
-    names = [*src.SENSORS, "fuel_delta", "current_delta", "fuel_mean_360min", "fuel_mean_1440min", "current_mean_360min"]
-    return fc.selected_features(t, names)
+    return fc.selected_features(candidates(spark, sf_dir), sql.CANDIDATES)
+
+
+@query(sql.SELECTION_REPORT)
+def selection_statistics(spark, sf_dir):
+    return fc.selection_report(fc.selected_features(candidates(spark, sf_dir), sql.CANDIDATES))
+
+
+@query(sql.CORRELATIONS)
+def feature_correlations(spark, sf_dir):
+    return correlations(candidates(spark, sf_dir), sql.CANDIDATES).withColumn("correlation", F.round("correlation", 6))
 
 
 @query(sql.FLEET)

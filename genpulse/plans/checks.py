@@ -214,13 +214,13 @@ def reported_vs_estimated(spark, sf_dir):
     return rules.counts_by(stated(spark, sf_dir).withColumn("status", F.coalesce("status", F.lit("none"))), "status", "estimated_status")
 
 
-@query()
+@query(sql.ADVICE)
 def sensor_issue_advice(spark, sf_dir):
     t = rules.issue_advice(rules.sensor_score(completed(spark, sf_dir)))
     return t.groupBy("sensor_health", "maintenance_recommendation").agg(F.count(F.lit(1)).alias("n"), F.count_if("sensor_issue_detected").alias("issues"))
 
 
-@query()
+@query(sql.STOPPED_AS_ZERO)
 def imputed_stopped_as_zero(spark, sf_dir):
     t = impute.imputed(rules.validated(stated(spark, sf_dir)), 10, stopped_is_zero=True)
     return t.select("row_id", "current", F.round(impute.first_confidence(F.col("estimated_confidence")), 4).alias("first_confidence"))

@@ -44,6 +44,19 @@ def segmented_repeats(spark, sf_dir):
     return t.select("row_id", *[F.round(f"fuel_{how}", 9).alias(f"fuel_{how}") for how in ("mean", "std", "sum")])
 
 
+@query(sql.ROW_FEATURES)
+def segmented_row_features(spark, sf_dir):
+    t = fc.row_features(src.telemetry(spark, sf_dir), (1, 5), (5,), segment=DAYS)
+    return t.select("row_id", *[F.round(c, 4).alias(c) for c in t.columns if "_lag_" in c or "rows" in c])
+
+
+@query(sql.LONG_FRAMES)
+def long_row_frames(spark, sf_dir):
+    """Frames of 360 rows, which cost what short ones do."""
+    t = seg.row_framed(src.telemetry(spark, sf_dir), {how: seg.RowFrame("battery_voltage", 360, how) for how in ("mean", "std", "min", "max")}, DAYS)
+    return t.select("row_id", *[F.round(how, 4).alias(f"battery_{how}") for how in ("mean", "std", "min", "max")])
+
+
 @query(sql.IMPUTED)
 def segmented_imputation(spark, sf_dir):
     t = impute.imputed(checked(spark, sf_dir), segment=DAYS)

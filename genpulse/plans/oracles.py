@@ -225,6 +225,7 @@ ROLLING_REPEATS = _with(", P AS (SELECT row_id, generator_id, epoch_us(date_trun
 round(CASE WHEN count(b.fuel_level_l) >= 2 THEN stddev_samp(b.fuel_level_l) END, 9) AS fuel_std, round(CASE WHEN count(b.fuel_level_l) >= 2 THEN sum(b.fuel_level_l) END, 9) AS fuel_sum
 FROM P a JOIN P b ON a.generator_id = b.generator_id AND b.d > a.d - 259200000000 AND (b.d < a.d OR b.d = a.d AND b.row_id <= a.row_id) GROUP BY a.row_id""")
 ROW_FEATURES = _with("", "SELECT row_id, " + ", ".join(f"round(lag({c}, {n}) OVER w, 4) AS {c}_lag_{n}" for c in ("fuel_level_l", "current", "battery_voltage") for n in (1, 5)) + ", " + ", ".join(f"round(CASE WHEN count(fuel_level_l) OVER r = 5 THEN {f}(fuel_level_l) OVER r END, 4) AS fuel_{how}_5rows" for how, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))) + " FROM T WINDOW w AS (PARTITION BY generator_id ORDER BY timestamp, row_id), r AS (PARTITION BY generator_id ORDER BY timestamp, row_id ROWS 4 PRECEDING)")
+LONG_FRAMES = _with("", "SELECT row_id, " + ", ".join(f"round(CASE WHEN count(battery_voltage) OVER r = 360 THEN {f}(battery_voltage) OVER r END, 4) AS battery_{how}" for how, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))) + " FROM T WINDOW r AS (PARTITION BY generator_id ORDER BY timestamp, row_id ROWS 359 PRECEDING)")
 CHANGES = _with(", ch AS (SELECT row_id, " + ", ".join(f"fuel_level_l - lag(fuel_level_l, {n}) OVER w AS c{n}" for n in (15, 30, 60)) + " FROM T WINDOW w AS (PARTITION BY generator_id ORDER BY timestamp, row_id))", "SELECT row_id, round(c15, 4) AS fuel_change_15, round(c30, 4) AS fuel_change_30, round(c60, 4) AS fuel_change_60, coalesce(c60 > 50, false)::INT AS refill_signal, coalesce(c60 < -50, false)::INT AS drop_signal FROM ch")
 FLAGS = _with(_D, """SELECT row_id, (fuel_level_l IS NULL)::INT + (current IS NULL)::INT + (battery_voltage IS NULL)::INT AS sensor_missing_count, coalesce(abs(fuel_delta) > 100, false)::INT AS fuel_outlier_flag, coalesce(abs(current_delta) > 100, false)::INT AS current_outlier_flag,
 coalesce(abs(voltage_delta) > 50, false)::INT AS voltage_outlier_flag, coalesce(gap > 180, false)::INT AS gap_flag, coalesce(battery_voltage <= 0, false)::INT AS battery_zero, coalesce(fuel_level_l <= 0, false)::INT AS fuel_zero_or_negative, coalesce(current > 5, false)::INT AS current_active FROM D""")
@@ -255,10 +256,35 @@ HEALTH = _with(_H, """SELECT row_id, fuel_sensor_health, current_sensor_health,
 CASE maintenance_priority WHEN 'None' THEN 'Sensors operating normally' WHEN 'Low' THEN 'Minor sensor degradation' WHEN 'Medium' THEN 'Sensor quality degrading' WHEN 'High' THEN 'Multiple sensor issues detected' ELSE 'Sensor reliability very poor' END AS maintenance_reason,
 CASE maintenance_priority WHEN 'None' THEN 'No action required' WHEN 'Low' THEN 'Monitor during next inspection' WHEN 'Medium' THEN 'Inspect affected sensor' WHEN 'High' THEN 'Maintenance recommended' ELSE 'Immediate maintenance required' END AS recommended_action FROM H""")
 _ISSUES = [("fuel_invalid", 30, "Invalid fuel value"), ("fuel_outlier", 15, "Fuel outlier"), ("current_invalid", 25, "Invalid current"), ("current_outlier", 10, "Current outlier"), ("battery_invalid", 20, "Invalid battery voltage"), ("battery_current_mismatch", 15, "Battery/current mismatch"), ("state_sensor_mismatch", 15, "Status conflicts with sensors"), ("fuel_imputed", 5, "Fuel imputed"), ("current_imputed", 5, "Current imputed"), ("battery_imputed", 5, "Battery imputed"), ("status_imputed", 5, "Status imputed")]
-HEALTH_SCORE = _with(_I + f""",
+#: Columns that feature selection judges, in their order.
+CANDIDATES = ["fuel_level_l", "current", "battery_voltage", "fuel_delta", "current_delta", "fuel_mean_360min", "fuel_mean_1440min", "current_mean_360min"]
+_F = _D + f", rolled AS ({_rolling()}), F AS (SELECT {', '.join(CANDIDATES)} FROM D JOIN rolled USING (row_id))"
+_PAIRS = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, '{a}' AS a, '{b}' AS b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, corr({a}, {b}) AS correlation FROM F" for j, b in enumerate(CANDIDATES) for i, a in enumerate(CANDIDATES[:j]))
+CORRELATIONS = _with(_F, f"SELECT a, b, n, round(correlation, 6) AS correlation FROM ({_PAIRS}) WHERE n > 0")
+_COLUMNS = " UNION ALL ".join(
+    f"SELECT {k} AS k, '{c}' AS feature, (SELECT max(m) FROM (SELECT count(*) AS m FROM F GROUP BY {c})) / count(*) >= 0.99 AS same, avg(({c} IS NULL)::INT) > 0.5 AS absent, coalesce(var_samp({c}), 0) < 0.001 AS flat FROM F"
+    for k, c in enumerate(CANDIDATES)
+)
+_SELECTION = _F + f""",
+pairs AS ({_PAIRS}), facts AS ({_COLUMNS}),
+judged AS (
+    SELECT feature, CASE WHEN same THEN 'constant' WHEN absent THEN 'missing'
+        WHEN EXISTS (SELECT 1 FROM pairs JOIN facts o ON o.k = pairs.i WHERE pairs.j = facts.k AND abs(correlation) > 0.95 AND NOT o.same AND NOT o.absent) THEN 'correlated'
+        WHEN flat THEN 'low_variance' ELSE 'kept' END AS verdict
+    FROM facts)"""
+SELECTION = _with(_SELECTION, "SELECT * FROM judged")
+SELECTION_REPORT = _with(_SELECTION, " UNION ALL ".join(f"SELECT '{s}' AS stage, count(*) FILTER (verdict = '{s}') AS features, round(100 * count(*) FILTER (verdict = '{s}') / count(*), 4) AS percent FROM judged" for s in ("constant", "missing", "correlated", "low_variance", "kept")))
+_SCORED = _I + f""",
 d0 AS (SELECT *, coalesce(round(abs(fuel_level_l - CASE WHEN count(fuel_level_l) OVER w >= 20 THEN avg(fuel_level_l) OVER w END), 9) > 8, false) AS sensor_drift FROM I WINDOW w AS (PARTITION BY generator_id ORDER BY timestamp, row_id ROWS 59 PRECEDING)),
 d1 AS (SELECT *, greatest(0, 100.0::DOUBLE {" ".join(f"- {p} * {c}::INT" for c, p, _ in _ISSUES)} - CASE WHEN imputation_confidence < 30 THEN 20 WHEN imputation_confidence < 60 THEN 10 WHEN imputation_confidence < 80 THEN 5 ELSE 0 END - 10 * sensor_drift::INT) AS total,
-       concat_ws('; ', {", ".join(f"CASE WHEN {c} THEN '{text}' END" for c, _, text in _ISSUES)}, CASE WHEN imputation_confidence < 30 THEN 'Very low imputation confidence' WHEN imputation_confidence < 60 THEN 'Low imputation confidence' WHEN imputation_confidence < 80 THEN 'Moderate imputation confidence' END, CASE WHEN sensor_drift THEN 'Sensor drift detected' END) AS issues FROM d0)""", """SELECT row_id, sensor_drift, total AS sensor_health_score, CASE WHEN total >= 95 THEN 'Excellent' WHEN total >= 85 THEN 'Good' WHEN total >= 70 THEN 'Fair' WHEN total >= 50 THEN 'Poor' ELSE 'Critical' END AS sensor_health, CASE WHEN issues = '' THEN 'Healthy telemetry' ELSE issues END AS sensor_health_reason FROM d1""")
+       concat_ws('; ', {", ".join(f"CASE WHEN {c} THEN '{text}' END" for c, _, text in _ISSUES)}, CASE WHEN imputation_confidence < 30 THEN 'Very low imputation confidence' WHEN imputation_confidence < 60 THEN 'Low imputation confidence' WHEN imputation_confidence < 80 THEN 'Moderate imputation confidence' END, CASE WHEN sensor_drift THEN 'Sensor drift detected' END) AS issues FROM d0),
+scored AS (SELECT *, CASE WHEN total >= 95 THEN 'Excellent' WHEN total >= 85 THEN 'Good' WHEN total >= 70 THEN 'Fair' WHEN total >= 50 THEN 'Poor' ELSE 'Critical' END AS sensor_health FROM d1)"""
+HEALTH_SCORE = _with(_SCORED, """SELECT row_id, sensor_drift, total AS sensor_health_score, sensor_health, CASE WHEN issues = '' THEN 'Healthy telemetry' ELSE issues END AS sensor_health_reason FROM scored""")
+ADVICE = _with(_SCORED, """SELECT sensor_health, CASE sensor_health WHEN 'Excellent' THEN 'No action required' WHEN 'Good' THEN 'Continue monitoring' WHEN 'Fair' THEN 'Inspect during next maintenance' WHEN 'Poor' THEN 'Schedule sensor inspection' ELSE 'Immediate maintenance required' END AS maintenance_recommendation,
+count(*) AS n, count(*) FILTER (fuel_invalid OR fuel_outlier OR current_invalid OR current_outlier OR battery_invalid OR battery_current_mismatch OR state_sensor_mismatch OR sensor_drift) AS issues FROM scored GROUP BY ALL""")
+_ZEROED = _V + ", Z AS (SELECT * REPLACE (CASE WHEN current IS NULL AND estimated_status = 'Stopped' THEN 0 ELSE current END AS current, CASE WHEN battery_voltage IS NULL AND estimated_status = 'Stopped' THEN 0 ELSE battery_voltage END AS battery_voltage) FROM V), " + _neighbours("Z")
+STOPPED_AS_ZERO = _with(_ZEROED + f", L AS (SELECT row_id, estimated_confidence, status IS NULL AS s, {', '.join(f'{c} AS raw_{c}, {_line(c, 10)} AS {c}' for c in ('fuel_level_l', 'current', 'battery_voltage'))} FROM N)", """SELECT row_id, current,
+round(greatest(0, least(100, (100 - 15 * (raw_fuel_level_l IS NULL AND fuel_level_l IS NOT NULL)::INT - 10 * (raw_current IS NULL AND current IS NOT NULL)::INT - 10 * (raw_battery_voltage IS NULL AND battery_voltage IS NOT NULL)::INT - 10 * s::INT) * 0.7::DOUBLE + estimated_confidence * 0.3::DOUBLE)), 4) AS first_confidence FROM L""")
 ANOMALIES = _with(_A, """SELECT row_id, fuel_theft, refueling, fuel_stuck, current_spike, current_zero_running, battery_low, battery_spike, battery_unstable, state_anomaly, telemetry_anomaly, fuel_spike, overall_anomaly_score, anomaly_flag, anomaly_severity,
 CASE WHEN len(found) = 0 THEN 'No anomaly detected' ELSE array_to_string(found, '; ') END AS anomaly_reason, CASE WHEN len(acts) = 0 THEN 'No action required' ELSE array_to_string(acts, '; ') END AS anomaly_action, state_anomaly_reason, telemetry_severity FROM A""")
 ANOMALY_SUMMARY = _with(_A, "SELECT generator_id, count(*) AS n_rows, count(*) FILTER (anomaly_flag) AS n_anomalies, round(avg(overall_anomaly_score), 4) AS mean_score, max(overall_anomaly_score) AS worst_score FROM A GROUP BY generator_id")

@@ -52,6 +52,25 @@ def test_frames_equal_windows_over_whole_series(spark, width):
     assert sorted(map(str, seg.framed(df, frames, width).where(known).collect())) == sorted(map(str, want.where(known).collect()))
 
 
+@pytest.mark.parametrize("width", [100.0, 1e9])
+def test_row_frames_equal_windows_over_whole_series(spark, width):
+    df = some_rows(spark, 6).withColumn("current", F.col("row_id").cast("double"))
+    frames = {f"{c}_{how}{n}": seg.RowFrame(c, n, how) for c in ("fuel_level_l", "current") for how in ("mean", "std", "min", "max") for n in (1, 2, 7, 60)}
+    want = df.withColumns({name: s.rolling_rows(f.column, f.rows, f.how) for name, f in frames.items()})
+    got, rounded = seg.row_framed(df, frames, width), [F.round(c, 7).alias(c) for c in frames]
+    assert got.columns == want.columns
+    assert sorted(map(str, got.select("row_id", *rounded).collect())) == sorted(map(str, want.select("row_id", *rounded).collect()))
+
+
+def test_long_row_frames_take_linear_time(spark):
+    import time
+
+    rows = spark.range(200_000).selectExpr("id AS row_id", "'G' AS generator_id", "timestamp_seconds(id * 60) AS timestamp", "double(id % 1000) AS x")
+    began = time.perf_counter()
+    got = seg.row_framed(rows, {"top": seg.RowFrame("x", 20_000, "max"), "mid": seg.RowFrame("x", 20_000, "mean")}, 86_400.0).agg(F.count("top"), F.min("top"), F.min("mid"), F.max("mid")).first()
+    assert got[:2] == (180_001, 999.0) and got[2:] == pytest.approx((499.5, 499.5)) and time.perf_counter() - began < 90
+
+
 @pytest.mark.parametrize("forward", [True, False])
 @pytest.mark.parametrize("tolerance", [None, 300])
 def test_asof_equals_one_window(spark, forward, tolerance):
