@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import segments
+from ..functions.fingerprint import differences
 from ..functions.gram import correlations
 from ..functions.selection import at_places, percentiles
 from ..functions.series import KEY, change, flag, micros, rolling, rolling_rows, seconds_since_last
@@ -243,14 +244,11 @@ def worst(df: DataFrame, n: int = 20) -> DataFrame:
 
 
 def multiset_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """How many rows only a and only b have, counting repeats: equal tables give zeros."""
-    keys = a.columns
-    counts = lambda df, name: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    left, right = counts(a, "n_a"), counts(b.select(*keys), "n_b")
-    condition = [left[c].eqNullSafe(right[c]) for c in keys]
-    n_a, n_b = F.coalesce("n_a", F.lit(0)), F.coalesce("n_b", F.lit(0))
-    both = left.join(right, condition, "full_outer")
-    return both.agg(F.coalesce(F.sum(F.greatest(n_a - n_b, F.lit(0))), F.lit(0)).alias("only_a"), F.coalesce(F.sum(F.greatest(n_b - n_a, F.lit(0))), F.lit(0)).alias("only_b"))
+    """How many rows only a and only b have, counting repeats: equal tables give zeros. Tables are
+    compared by fingerprints of ranges, and row by row only where these differ."""
+    rows = differences(a, b)
+    more = lambda x, y: F.coalesce(F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0))), F.lit(0))
+    return rows.agg(more("n_a", "n_b").alias("only_a"), more("n_b", "n_a").alias("only_b"))
 
 
 def target_changes(a: DataFrame, b: DataFrame, column: str = "target_fuel") -> DataFrame:

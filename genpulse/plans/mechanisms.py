@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import segments as seg
 from ..functions import series as s
 from ..operators import boosting as gb
 from ..operators import forecast as fc
-from ..operators import impute, rules, timeline
+from ..operators import impute, rules, states, timeline
 from ..sources import tables as src
-from ..sources.scratch import stored
+from ..sources.scratch import folder, stored
 from . import oracles as sql
-from .catalog import MINUTES, checked, query
+from .catalog import MINUTES, checked, healthy, query
 
 #: Seconds of a segment in these queries: short ones, so that a generator of the test tables has several.
 DAYS = 3 * 86_400.0
@@ -123,3 +125,46 @@ def generator_model_performance(spark, sf_dir):
     """Errors of the model for each generator's test rows, and those of persistence over the same rows."""
     rows = model_rows(spark, sf_dir)
     return fc.beside_persistence(model_of(rows).predict(rows.where("split = 'test'")), src.telemetry(spark, sf_dir))
+
+
+def in_two_appends(spark, sf_dir):
+    """States of the scored telemetry, which arrives in two parts."""
+    place = f"{folder(spark)}/dashboard-{uuid.uuid4().hex}"
+    store, scored = states.DashboardStore(spark, f"{place}/store"), healthy(spark, sf_dir)
+    for part in ("row_id % 3 = 0", "row_id % 3 <> 0"):
+        scored.where(part).write.mode("append").parquet(f"{place}/scored")
+        store.append(f"{place}/scored")
+    return store.states()
+
+
+@query(sql.FLEET)
+def fleet_from_states(spark, sf_dir):
+    return states.fleet(in_two_appends(spark, sf_dir))
+
+
+@query(sql.HEALTH_HISTOGRAM)
+def health_histogram_from_states(spark, sf_dir):
+    return states.health_histogram(in_two_appends(spark, sf_dir))
+
+
+@query(sql.FUEL_PAGE)
+def fuel_page_from_states(spark, sf_dir):
+    return states.fuel_page(in_two_appends(spark, sf_dir))
+
+
+_DAY = "floor(epoch_us(timestamp) / 86400000000)::BIGINT * 86400000000"
+
+
+@query(sql._with(sql._H, f"SELECT generator_id, {_DAY} AS start_us, round(avg(fuel_level_l), 6) AS mean_fuel, count(*) AS n_rows FROM H GROUP BY ALL"))
+def overview_fuel_series(spark, sf_dir):
+    return states.fuel_series(in_two_appends(spark, sf_dir))
+
+
+@query(sql._with(sql._H, f"SELECT {_DAY} AS start_us, round(avg(overall_sensor_health), 6) AS mean_health, count(*) FILTER (maintenance_priority IN ('Medium', 'High', 'Critical')) AS alerts, count(*) AS n_rows FROM H GROUP BY ALL"))
+def sensor_health_trend(spark, sf_dir):
+    return states.health_trend(in_two_appends(spark, sf_dir))
+
+
+@query(sql._with(sql._H, "SELECT s AS status, (SELECT count(*) FROM H WHERE (CASE WHEN contains(lower(status), 'running') THEN 'running' WHEN status = 'stopped' THEN 'stopped' ELSE 'unknown' END) = s) AS n FROM (VALUES ('running'), ('stopped'), ('unknown')) v(s)"))
+def overview_status_counts(spark, sf_dir):
+    return states.status_counts(in_two_appends(spark, sf_dir))
