@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from statistics import median
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.selection import percentiles
@@ -87,12 +89,23 @@ def cadence_histogram(df: DataFrame, longest: float = 300.0, cluster: float = 3.
 
 
 def cadence_classes(cadences: DataFrame, within: float = 5.0) -> DataFrame:
-    """Cadences that lie within `within` seconds of the next smaller one share a class, whose interval
-    is their rounded median. The table has one row for each generator."""
-    order = Window.orderBy("interval", KEY)
-    starts = F.coalesce((F.col("interval") - F.lag("interval").over(order) > within).cast("int"), F.lit(1))
-    classed = cadences.select(KEY, "interval").withColumn("class", F.sum(starts).over(order).cast("int"))
-    return classed.withColumn("class_interval", F.rint(F.percentile("interval", 0.5).over(Window.partitionBy("class"))).cast("int"))
+    """generator, interval, class and class_interval: intervals near one another share a class.
+
+    In the order of generators, an interval that no class has yet begins one, of all that lie within
+    `within` seconds of it; the class has their rounded median. Where classes would overlap, every
+    interval stays as it is. Only the different intervals are looked at one by one, which are whole
+    seconds up to the longest gap, and not the generators."""
+    seen = cadences.where("interval IS NOT NULL").groupBy("interval").agg(F.min(KEY).alias("first"), F.count(F.lit(1)).alias("n")).orderBy(F.asc_nulls_last("first"), "interval").collect()
+    begun: list[int] = []
+    for r in seen:
+        if all(abs(r.interval - b) > within for b in begun):
+            begun.append(r.interval)
+    near = {b: [r for r in seen if abs(r.interval - b) <= within] for b in begun}
+    if sum(len(rows) for rows in near.values()) > len(seen):
+        near = {r.interval: [r] for r in seen}
+    rows = [(r.interval, k, int(round(median([r.interval for r in of for _ in range(1 if len(of) == 1 else r.n)])))) for k, of in enumerate(near.values(), 1) for r in of]
+    classes = cadences.sparkSession.createDataFrame(rows, "interval int, class int, class_interval int")
+    return cadences.select(KEY, F.col("interval").cast("int").alias("interval")).join(F.broadcast(classes), "interval", "left").select(KEY, "interval", "class", "class_interval")
 
 
 def telemetry_quality(df: DataFrame, cadences: DataFrame, default: int = 60) -> DataFrame:

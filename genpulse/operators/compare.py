@@ -35,6 +35,11 @@ def error_shares(df: DataFrame, exact: float = 1e-6) -> DataFrame:
     )
 
 
+def negative_sample(df: DataFrame, n: int = 30, target: str = "target_fuel") -> DataFrame:
+    """The first n rows of negative target, by generator and time."""
+    return df.where(F.col(target) < 0).orderBy("generator_id", "timestamp", "row_id").limit(n)
+
+
 def negative_targets(df: DataFrame, target: str = "target_fuel") -> DataFrame:
     """Least, mean and largest negative target of each generator that has any, with the status most of them came under."""
     low = df.where(F.col(target) < 0)

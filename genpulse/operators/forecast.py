@@ -57,7 +57,7 @@ def windowed(df: DataFrame, minutes: tuple[int, ...] = (5, 15, 30, 60), least: i
             frames[f"{short}_mean_{m}min"] = segments.Frame(c, 60 * m, least, "mean")
             frames[f"{short}_std_{m}min"] = segments.Frame(c, 60 * m, least, "std")
         for c in more:
-            frames[f"{c}_mean_{m}min"] = segments.Frame(c, 60 * m, least, "mean")
+            frames[f"{c.removesuffix('_score')}_mean_{m}min"] = segments.Frame(c, 60 * m, least, "mean")
     if segment is not None:
         return segments.framed(df, frames, segment)
     return df.withColumns({name: rolling(f.column, f.seconds, f.least, f.how) for name, f in frames.items()})

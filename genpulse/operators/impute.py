@@ -49,6 +49,11 @@ def imputed(df: DataFrame, limit: int = 10, stopped_is_zero: bool = False, segme
     return out.withColumn("imputation_confidence", confidence()).withColumn("imputation_confidence_level", bands(F.col("imputation_confidence"), LEVELS, "Very Low"))
 
 
+def completed_status(df: DataFrame) -> DataFrame:
+    """The older completion: a missing status becomes the estimated one as it is, flagged by status_imputed."""
+    return df.withColumns({"status_imputed": F.col("status").isNull(), "status": F.coalesce("status", "estimated_status")})
+
+
 def df_null(column: str) -> F.Column:
     return F.col(column).isNull()
 

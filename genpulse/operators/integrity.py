@@ -137,6 +137,28 @@ def doubled_columns(df: DataFrame) -> list[str]:
     return sorted({c for c in df.columns if df.columns.count(c) > 1})
 
 
+#: The features that a forecasting table must have.
+REQUIRED_FEATURES = [
+    "hour", "minute", "weekday", "day", "month", "is_weekend",
+    "fuel_delta", "time_delta_sec", "fuel_rate_lps", "fuel_rate_lph", "current_delta", "voltage_delta",
+    "fuel_invalid", "current_invalid", "battery_invalid", "fuel_outlier", "current_outlier", "timestamp_gap_seconds", "timestamp_gap",
+    "fuel_change_15min", "fuel_change_30min", "fuel_change_60min", "fuel_refill_signal", "fuel_drop_signal",
+    *[f"{s}_{how}_{m}min" for s in ("fuel", "current", "battery") for how in ("mean", "std") for m in (5, 15, 30, 60)],
+    "fuel_trend_15min", "fuel_trend_30min", "fuel_trend_60min", "battery_zero", "fuel_zero_or_negative", "current_active", "sensor_state_conflict",
+]
+
+
+def required_features(df: DataFrame) -> DataFrame:
+    """(feature, present) of the features that a forecasting table must have; means of probability and
+    quality are among them where the table has these."""
+    names = list(REQUIRED_FEATURES)
+    for source, short in (("running_probability", "running_probability"), ("telemetry_quality_score", "telemetry_quality")):
+        if source in df.columns:
+            names += [f"{short}_mean_{m}min" for m in (5, 15, 30, 60)]
+    missing = set(required(df, names))
+    return df.sparkSession.createDataFrame([(c, c not in missing) for c in names], "feature string, present boolean")
+
+
 def required(df: DataFrame, columns: list[str]) -> list[str]:
     """Those of columns that df lacks."""
     return [c for c in columns if c not in df.columns]

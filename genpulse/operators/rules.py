@@ -90,15 +90,28 @@ def _text(value: Column, unit: str, what: str, says: str) -> Column:
     return F.concat(F.lit(f"{what} "), F.format_string("%.2f", value), F.lit(f"{unit} {says}"))
 
 
-def estimated_state(df: DataFrame) -> DataFrame:
-    """State by votes of current, battery and fuel change: running_probability, estimated_status,
-    estimated_confidence, confidence_level, status_conflict, estimation_reason. Needs fuel_delta."""
+def _votes() -> dict[str, tuple[float, Column, Column]]:
+    """Weight, vote and strength of each sensor. Needs fuel_delta."""
     c, b, d = F.col("current"), F.col("battery_voltage"), F.col("fuel_delta")
-    votes = {
+    return {
         "current": (0.5, F.when(c.isNull(), "Unknown").when(c >= 30, "Running").otherwise("Stopped"), F.when(c >= 150, 1.0).when(c >= 80, 0.9).when(c >= 30, 0.7).otherwise(0.6)),
         "battery": (0.3, F.when(flag(b >= 48), "Running").otherwise("Unknown"), F.lit(1.0)),
         "fuel": (0.2, F.when(d.isNull(), "Unknown").when(d < -0.02, "Running").otherwise("Stopped"), F.when(d < -0.02, 1.0).otherwise(0.4)),
     }
+
+
+def sensor_votes(df: DataFrame) -> DataFrame:
+    """df with the bundle of votes that estimated_state() counts: for each sensor its vote, and the
+    weight of a vote for running, weight times strength, 0 for any other."""
+    votes = _votes()
+    return df.withColumns({f"{n}_vote": v for n, (_, v, _) in votes.items()} | {f"{n}_running_weight": F.when(v == "Running", s * w).otherwise(0.0) for n, (w, v, s) in votes.items()})
+
+
+def estimated_state(df: DataFrame) -> DataFrame:
+    """State by votes of current, battery and fuel change: running_probability, estimated_status,
+    estimated_confidence, confidence_level, status_conflict, estimation_reason. Needs fuel_delta."""
+    c, b, d = F.col("current"), F.col("battery_voltage"), F.col("fuel_delta")
+    votes = _votes()
     total = lambda cond, value=lambda w, s: w: sum(F.when(cond(v), value(w, s)).otherwise(0.0) for w, v, s in votes.values())
     number = lambda state: sum(F.when(v == state, 1).otherwise(0) for _, v, _ in votes.values())
     known = total(lambda v: v != "Unknown")
@@ -308,6 +321,27 @@ def issue_advice(df: DataFrame) -> DataFrame:
     return df.withColumns({"sensor_issue_detected": found, "maintenance_recommendation": advice[F.col("sensor_health")]})
 
 
+#: The columns that anomaly detection fills.
+ANOMALY_COLUMNS = [
+    "fuel_theft_detected", "refueling_detected", "fuel_spike_detected", "fuel_sensor_stuck", "fuel_anomaly_score",
+    "current_spike_detected", "current_zero_running", "current_anomaly_score",
+    "battery_low", "battery_spike", "battery_unstable", "battery_anomaly_score",
+    "generator_state_anomaly", "state_anomaly_reason", "telemetry_anomaly", "telemetry_severity",
+    "overall_anomaly", "anomaly_score", "anomaly_severity", "anomaly_reason", "recommended_action",
+]
+
+
+def with_anomaly_columns(df: DataFrame) -> DataFrame:
+    """df with those of ANOMALY_COLUMNS that it lacks: texts empty, scores 0, flags false."""
+
+    def initial(name: str) -> Column:
+        if any(kind in name for kind in ("reason", "severity", "action")):
+            return F.lit("")
+        return F.lit(0.0) if "score" in name else F.lit(False)
+
+    return df.withColumns({c: initial(c) for c in ANOMALY_COLUMNS if c not in df.columns})
+
+
 def counts_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 

@@ -104,13 +104,13 @@ def fuel_page(s: DataFrame) -> DataFrame:
 def fuel_series(s: DataFrame, hours: int = 24) -> DataFrame:
     """Mean fuel of each generator in each stretch of hours: the overview's curve."""
     at = (F.floor(F.col(_HOUR) / (hours * 3_600_000_000)) * (hours * 3_600_000_000)).alias("start_us")
-    return s.where(f"{_HOUR} IS NOT NULL").groupBy(KEY, at).agg(_mean("fuel", 6).alias("mean_fuel"), F.sum("n_rows").alias("n_rows"))
+    return s.where(f"{_HOUR} IS NOT NULL").groupBy(KEY, at).agg(_mean("fuel", 8).alias("mean_fuel"), F.sum("n_rows").alias("n_rows"))
 
 
 def health_trend(s: DataFrame, hours: int = 24) -> DataFrame:
     """Mean health of the fleet and rows that need maintenance, by stretches of hours: the health page's trend."""
     at = (F.floor(F.col(_HOUR) / (hours * 3_600_000_000)) * (hours * 3_600_000_000)).alias("start_us")
-    return s.where(f"{_HOUR} IS NOT NULL").groupBy(at).agg(_mean("health", 6).alias("mean_health"), F.sum("alerts").alias("alerts"), F.sum("n_rows").alias("n_rows"))
+    return s.where(f"{_HOUR} IS NOT NULL").groupBy(at).agg(_mean("health", 8).alias("mean_health"), F.sum("alerts").alias("alerts"), F.sum("n_rows").alias("n_rows"))
 
 
 def status_counts(s: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,11 +21,14 @@ def resolved_duplicates(df: DataFrame) -> DataFrame:
     given, by row_id."""
     facts = ["site_name", *READINGS]
     firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("row_id"))).alias(c) for c in facts]
-    kinds = [F.countDistinct(c).alias(f"_{c}") for c in facts]
+    kinds = [f(c).alias(f"_{c}_{n}") for c in facts for n, f in (("least", F.min), ("most", F.max))]
     nulls = [F.count_if(F.col(c).isNull()).alias(f"_{c}_null") for c in facts]
     out = df.groupBy(KEY, "timestamp").agg(F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("n_packets"), *firsts, *kinds, *nulls)
-    conflict = F.greatest(*[F.col(f"_{c}") for c in READINGS]) > 1
-    partly = F.greatest(*[((F.col(f"_{c}") + (F.col(f"_{c}_null") > 0).cast("int")) > 1).cast("int") for c in facts]) == 1
+    # two values differ where the least is not the most; no count of different values, which would multiply the rows
+    several = lambda c: F.coalesce(F.col(f"_{c}_least") != F.col(f"_{c}_most"), F.lit(False))
+    either = lambda found: reduce(or_, found)
+    conflict = either([several(c) for c in READINGS])
+    partly = either([several(c) | ((F.col(f"_{c}_null") > 0) & F.col(f"_{c}_least").isNotNull()) for c in facts])
     kind = F.when(F.col("n_packets") == 1, "Single").when(conflict, "Conflicting").when(partly, "Complementary").otherwise("Exact")
     return out.withColumn("duplicate_type", kind).select("row_id", KEY, "timestamp", *facts, "n_packets", "duplicate_type")
 
@@ -36,19 +42,22 @@ def duplicate_marks(df: DataFrame) -> DataFrame:
     return df.withColumn("timestamp_duplicate", F.count(F.lit(1)).over(Window.partitionBy(KEY, "timestamp")) > 1)
 
 
-def regular(df: DataFrame, step_seconds: int | DataFrame, segment: float | None = None) -> DataFrame:
+def regular(df: DataFrame, step_seconds: int | DataFrame, segment: float | None = None, by: tuple[str, ...] = (KEY,)) -> DataFrame:
     """Every generator on a grid from its first to its last timestamp, readings joined where they
     fall on it exactly. step_seconds: a number, or a table (generator_id, interval). Sites are
     carried to inserted rows. Timestamps must be unique; resolve duplicates first. segment: seconds of
-    a series over which one task carries sites; None: a generator in one task."""
-    span = df.groupBy(KEY).agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
+    a series over which one task carries sites; None: a generator in one task. by: what a timeline
+    belongs to; where that is a site's generator, sites are those of the timeline."""
+    span = df.groupBy(*by).agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
     if isinstance(step_seconds, DataFrame):
         span = span.join(step_seconds.select(KEY, "interval"), KEY)
     else:
         span = span.withColumn("interval", F.lit(step_seconds))
-    grid = span.select(KEY, F.col("interval").alias("reporting_interval_sec"), F.explode(F.expr("sequence(a, b, make_dt_interval(0, 0, 0, interval))")).alias("timestamp"))
-    out = grid.join(df, [KEY, "timestamp"], "left")
-    if segment is None:
+    grid = span.select(*by, F.col("interval").alias("reporting_interval_sec"), F.explode(F.expr("sequence(a, b, make_dt_interval(0, 0, 0, interval))")).alias("timestamp"))
+    out = grid.join(df, [*by, "timestamp"], "left")
+    if "site_name" in by:
+        pass
+    elif segment is None:
         out = out.withColumn("site_name", filled_both_ways("site_name"))
     else:
         out = segments.scan(out, {"site_name": segments.either_known("site_name")}, segment)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import series as s
 from ..functions.gram import correlations
 from ..operators import cadence as cad
+from ..operators import compose
 from ..operators import dashboard as dash
 from ..operators import forecast as fc
 from ..operators import impute, profile, rules, timeline
@@ -33,23 +34,23 @@ def query(oracle: str | None = None):
 
 
 def stated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.estimated_state(rules.with_deltas(src.telemetry(spark, sf_dir)))
+    return compose.stated(src.telemetry(spark, sf_dir))
 
 
 def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.validated(stated(spark, sf_dir))
+    return compose.checked(src.telemetry(spark, sf_dir))
 
 
 def completed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return impute.imputed(checked(spark, sf_dir))
+    return compose.completed(src.telemetry(spark, sf_dir))
 
 
 def healthy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.sensor_health(completed(spark, sf_dir))
+    return compose.healthy(src.telemetry(spark, sf_dir))
 
 
 def anomalous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.anomalies(checked(spark, sf_dir))
+    return compose.anomalous(src.telemetry(spark, sf_dir))
 
 
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:

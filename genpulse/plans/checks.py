@@ -8,11 +8,11 @@ from ..functions import series as s
 from ..operators import cadence as cad
 from ..operators import compare as cmp
 from ..operators import forecast as fc
-from ..operators import impute, rules, timeline
+from ..operators import compose, impute, rules, timeline
 from ..operators import integrity as ok
 from ..sources import tables as src
 from . import oracles as sql
-from .catalog import completed, forecasts, query, stated
+from .catalog import checked, completed, forecasts, query, stated
 
 _W = "PARTITION BY generator_id ORDER BY timestamp, row_id"
 _SENSORS = ("fuel_level_l", "current", "battery_voltage")
@@ -246,10 +246,89 @@ def interval_lookup(spark, sf_dir):
     return cad.with_interval(t, cad.cadence(t, 20_000.0).where("generator_id <> 'GEN3'")).select("row_id", "reporting_interval_sec")
 
 
-@query(sql._with(sql._C, "SELECT generator_id, interval AS interval_a, confidence AS confidence_a, interval AS interval_b, confidence AS confidence_b, false AS differ FROM C"))
+_SHORT = sql._with(sql._C.replace("gap <= 20000", "gap <= 600"), "SELECT * FROM C")
+
+
+@query(f"SELECT coalesce(a.generator_id, b.generator_id) AS generator_id, a.interval AS interval_a, a.confidence AS confidence_a, b.interval AS interval_b, b.confidence AS confidence_b, a.interval IS DISTINCT FROM b.interval AS differ FROM ({sql._with(sql._C, 'SELECT * FROM C')}) a FULL JOIN ({_SHORT}) b ON a.generator_id = b.generator_id")
 def interval_comparison(spark, sf_dir):
-    c = cad.cadence(src.telemetry(spark, sf_dir), 20_000.0)
-    return cad.compared(c, c)
+    """Cadences of all gaps beside those of gaps up to ten minutes."""
+    t = src.telemetry(spark, sf_dir)
+    return cad.compared(cad.cadence(t, 20_000.0), cad.cadence(t, 600.0))
+
+
+@query(sql._with(sql._C + """,
+o AS (SELECT interval, min(generator_id) AS first, count(*) AS n FROM C GROUP BY interval)""", """SELECT c.generator_id, c.interval, k::INT AS class, v::INT AS class_interval FROM C c JOIN (
+    WITH RECURSIVE s AS (
+        SELECT [arg_min(interval, first)] AS begun FROM o
+        UNION ALL SELECT list_append(begun, next) FROM s, LATERAL (SELECT arg_min(interval, first) AS next FROM o WHERE list_bool_and(list_transform(begun, lambda b: abs(b - interval) > 5))) WHERE next IS NOT NULL),
+    b AS (SELECT unnest(begun) AS start, unnest(range(1, len(begun) + 1)) AS k FROM (SELECT begun FROM s ORDER BY len(begun) DESC LIMIT 1)),
+    m AS (SELECT k, start, o.interval, o.first, o.n FROM b JOIN o ON abs(o.interval - start) <= 5),
+    apart AS (SELECT (SELECT count(*) FROM m) = (SELECT count(*) FROM o) AS yes)
+    SELECT m.interval, CASE WHEN yes THEN k ELSE row_number() OVER (ORDER BY m.first) END AS k,
+        CASE WHEN yes THEN (SELECT round_even(quantile_cont(c2.interval, 0.5), 0) FROM C c2 WHERE abs(c2.interval - m.start) <= 5) ELSE m.interval END AS v
+    FROM (SELECT DISTINCT ON (interval) * FROM m) m, apart) x ON x.interval = c.interval"""))
+def cadence_classes(spark, sf_dir):
+    return cad.cadence_classes(cad.cadence(src.telemetry(spark, sf_dir), 20_000.0))
+
+
+@query(sql._with(sql._S, """SELECT row_id, CASE WHEN current IS NULL THEN 'Unknown' WHEN rc THEN 'Running' ELSE 'Stopped' END AS current_vote, CASE WHEN kb THEN 'Running' ELSE 'Unknown' END AS battery_vote,
+CASE WHEN NOT kf THEN 'Unknown' WHEN rf THEN 'Running' ELSE 'Stopped' END AS fuel_vote, round(CASE WHEN rc THEN sc * 0.5::DOUBLE ELSE 0 END, 6) AS current_running_weight, CASE WHEN kb THEN 0.3::DOUBLE ELSE 0 END AS battery_running_weight, CASE WHEN rf THEN 0.2::DOUBLE ELSE 0 END AS fuel_running_weight FROM S"""))
+def sensor_votes(spark, sf_dir):
+    t = rules.sensor_votes(rules.with_deltas(src.telemetry(spark, sf_dir)))
+    return t.select("row_id", "current_vote", "battery_vote", "fuel_vote", F.round("current_running_weight", 6).alias("current_running_weight"), "battery_running_weight", "fuel_running_weight")
+
+
+@query(sql._with(sql._S, "SELECT row_id, coalesce(status, estimated_status) AS status, status IS NULL AS status_imputed FROM S"))
+def completed_status(spark, sf_dir):
+    return impute.completed_status(stated(spark, sf_dir)).select("row_id", "status", "status_imputed")
+
+
+@query(sql._with(sql._V, "SELECT row_id, " + ", ".join(f"round(CASE WHEN count({c}) OVER w{m} >= 3 THEN avg({c}) OVER w{m} END, 9) AS {c.removesuffix('_score')}_mean_{m}min" for m in (360, 1440) for c in ("running_probability", "telemetry_quality_score")) + " FROM V WINDOW " + ", ".join(f"w{m} AS (PARTITION BY generator_id ORDER BY us RANGE BETWEEN {m * 60_000_000 - 1} PRECEDING AND CURRENT ROW)" for m in (360, 1440))))
+def rolling_probability_and_quality(spark, sf_dir):
+    t = fc.windowed(checked(spark, sf_dir), (360, 1440), more=("running_probability", "telemetry_quality_score"), segment=3 * 86_400.0)
+    return t.select("row_id", *[F.round(c, 9).alias(c) for c in t.columns if c.startswith(("running_probability_mean", "telemetry_quality_mean"))])
+
+
+@query(sql._with(", V1 AS (SELECT * FROM T)", "SELECT row_id, '' AS anomaly_reason, 0.0::DOUBLE AS anomaly_score, false AS battery_low, current FROM V1"))
+def anomaly_columns(spark, sf_dir):
+    return rules.with_anomaly_columns(src.telemetry(spark, sf_dir)).select("row_id", "anomaly_reason", "anomaly_score", "battery_low", "current")
+
+
+_MINUTES = """,
+m AS (SELECT * EXCLUDE (k) FROM (SELECT *, date_trunc('minute', timestamp) AS minute, row_number() OVER (PARTITION BY {by}, date_trunc('minute', timestamp) ORDER BY timestamp, row_id) AS k FROM T) WHERE k = 1)"""
+
+
+@query(sql._with(_MINUTES.format(by="generator_id") + """,
+steps AS (SELECT generator_id, 60 * greatest(1, coalesce(mode(floor(gap) ORDER BY floor(gap)) FILTER (gap <= 20000), 60))::INT AS step FROM T GROUP BY generator_id),
+g AS (SELECT generator_id, step, unnest(generate_series(min(minute), max(minute), to_seconds(step))) AS tick FROM m JOIN steps USING (generator_id) GROUP BY generator_id, step)""",
+"SELECT g.generator_id, step AS reporting_interval_sec, epoch_us(tick) AS timestamp_us, m.fuel_level_l, m.fuel_level_l IS NULL AND m.current IS NULL AND m.battery_voltage IS NULL AND m.status IS NULL AS is_inserted_timestamp FROM g LEFT JOIN m ON g.generator_id = m.generator_id AND g.tick = m.minute"))
+def cadence_grid(spark, sf_dir):
+    """Every generator on a grid of its own interval, here in minutes as its gaps are."""
+    t = src.telemetry(spark, sf_dir)
+    steps = cad.simple_interval(t, 20_000.0).withColumn("interval", (F.col("interval") * 60).cast("int"))
+    grid = timeline.regular(timeline.floored(t, "minute"), steps, segment=7 * 86_400.0)
+    return grid.select("generator_id", "reporting_interval_sec", s.micros().alias("timestamp_us"), "fuel_level_l", "is_inserted_timestamp")
+
+
+@query(sql._with(""",
+h AS (SELECT * EXCLUDE (k) FROM (SELECT *, date_trunc('hour', timestamp) AS hour, row_number() OVER (PARTITION BY generator_id, date_trunc('hour', timestamp) ORDER BY timestamp, row_id) AS k FROM T) WHERE k = 1),
+g AS (SELECT site_name, generator_id, unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS tick FROM h GROUP BY site_name, generator_id)""",
+"SELECT g.site_name, g.generator_id, epoch_us(tick) AS timestamp_us, h.current, h.fuel_level_l IS NULL AND h.current IS NULL AND h.battery_voltage IS NULL AND h.status IS NULL AS is_inserted_timestamp FROM g LEFT JOIN h ON g.generator_id = h.generator_id AND g.site_name = h.site_name AND g.tick = h.hour"))
+def site_timeline(spark, sf_dir):
+    grid = timeline.regular(timeline.floored(src.telemetry(spark, sf_dir), "hour"), 3600, by=("site_name", "generator_id"))
+    return grid.select("site_name", "generator_id", s.micros().alias("timestamp_us"), "current", "is_inserted_timestamp")
+
+
+@query(sql._with(sql._TARGET, "SELECT row_id, generator_id, target_fuel - 40 AS shifted FROM E WHERE target_fuel - 40 < 0 ORDER BY generator_id, timestamp, row_id LIMIT 30"))
+def negative_target_sample(spark, sf_dir):
+    """The first rows whose target, less 40, is negative: the table's own targets are not."""
+    t = fc.target(src.telemetry(spark, sf_dir), 3, 60).withColumn("shifted", F.col("target_fuel") - 40)
+    return cmp.negative_sample(t, 30, "shifted").select("row_id", "generator_id", "shifted")
+
+
+@query()
+def required_features(spark, sf_dir):
+    return ok.required_features(compose.features(src.telemetry(spark, sf_dir)))
 
 
 # models and splits

@@ -155,12 +155,12 @@ def fuel_page_from_states(spark, sf_dir):
 _DAY = "floor(epoch_us(timestamp) / 86400000000)::BIGINT * 86400000000"
 
 
-@query(sql._with(sql._H, f"SELECT generator_id, {_DAY} AS start_us, round(avg(fuel_level_l), 6) AS mean_fuel, count(*) AS n_rows FROM H GROUP BY ALL"))
+@query(sql._with(sql._H, f"SELECT generator_id, {_DAY} AS start_us, round(avg(fuel_level_l), 8) AS mean_fuel, count(*) AS n_rows FROM H GROUP BY ALL"))
 def overview_fuel_series(spark, sf_dir):
     return states.fuel_series(in_two_appends(spark, sf_dir))
 
 
-@query(sql._with(sql._H, f"SELECT {_DAY} AS start_us, round(avg(overall_sensor_health), 6) AS mean_health, count(*) FILTER (maintenance_priority IN ('Medium', 'High', 'Critical')) AS alerts, count(*) AS n_rows FROM H GROUP BY ALL"))
+@query(sql._with(sql._H, f"SELECT {_DAY} AS start_us, round(avg(overall_sensor_health), 8) AS mean_health, count(*) FILTER (maintenance_priority IN ('Medium', 'High', 'Critical')) AS alerts, count(*) AS n_rows FROM H GROUP BY ALL"))
 def sensor_health_trend(spark, sf_dir):
     return states.health_trend(in_two_appends(spark, sf_dir))
 

@@ -58,10 +58,16 @@ def test_advice_follows_health(spark):
     assert column(out, "maintenance_recommendation") == ["Immediate maintenance required", "No action required"]
 
 
-def test_cadence_classes_chain_near_intervals(spark):
-    table = spark.createDataFrame([("A", 60), ("B", 63), ("C", 67), ("D", 90)], "generator_id string, interval int")
-    found = {r["generator_id"]: (r["class"], r["class_interval"]) for r in cadence.cadence_classes(table).collect()}
-    assert found["A"] == found["B"] == found["C"] and found["A"][1] == 63 and found["D"][1] == 90
+def test_cadence_classes_group_around_one_interval(spark):
+    def found(intervals):
+        table = spark.createDataFrame([(chr(65 + k), i) for k, i in enumerate(intervals)], "generator_id string, interval int")
+        return [r.class_interval for r in cadence.cadence_classes(table).orderBy("generator_id").collect()]
+
+    assert found([60, 63, 64, 90]) == [63, 63, 63, 90]
+    assert found([71, 74, 76, 75, 71]) == [74] * 5
+    # the classes of 70 and 78 would share 74
+    assert found([70, 74, 78]) == [70, 74, 78]
+    assert found([15, None, 16]) == [16, None, 16]
 
 
 def test_tuning_takes_the_better_model(spark):
