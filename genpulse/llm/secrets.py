@@ -29,7 +29,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 #: Weak parts: identifiers of an account, loose random strings, endpoints.
-NAMED = re.compile(r"""\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20{0,8}[:=]\x20{0,8}["']?([A-Za-z0-9][A-Za-z0-9_.@-]{2,}+)""", re.I | re.A)
+NAMED = re.compile(r"""\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9][A-Za-z0-9_.@-]{2,}+)""", re.I | re.A)
 LOOSE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 ENDPOINT = re.compile(r"\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3|ssh)://[A-Za-z0-9._~:/?#@!$&'()*+,;=%-]{3,}+", re.A)
 _KEYWORD = re.compile(r"passw|secret|token|api_?key", re.I | re.A)

@@ -2,6 +2,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -275,6 +276,15 @@ def test_weak_parts_need_a_complement(spark, repeated, empty):
     assert secrets.find_secrets(repeated).count() == 5 and secrets.find_secrets(empty).count() == 0
 
 
+def test_any_number_of_blanks_links_as_one_does():
+    for blanks in (0, 1, 9, 300):
+        text = f"username{' ' * blanks}={' ' * blanks}alice1 pwd=Zx9Kq2Lw8Vb4Nm6Ty1Rp"
+        assert {kind for _, _, kind in secrets.weak_parts(text, [])} == {"identifier", "secret"}
+    began = time.perf_counter()
+    secrets.weak_parts("username" + " " * 3_000_000 + "x", [])
+    assert time.perf_counter() - began < 5
+
+
 def test_links_against_brute_force(spark):
     rng = random.Random(6)
     parts = []
