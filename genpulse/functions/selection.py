@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..sources.scratch import stored
 
 #: Ranges that a region is cut into; rows of a region that is gathered.
-BUCKETS, SMALL = 4096, 4096
+BUCKETS, SMALL = 4096, 1 << 16
 #: Regions that may be broadcast; more meet the rows by a shuffle.
 BROADCAST = 10_000
 _INFINITE = float("inf")
@@ -84,12 +84,15 @@ def order_statistics(values: DataFrame, wanted: DataFrame, by: list[str]) -> Dat
 def percentiles(df: DataFrame, value: str | Column, marks: list[float], by: list[str] | None = None) -> DataFrame:
     """(by, q) with the exact percentiles of value at marks (0 to 1) of each group, in line between
     neighbouring ranks as percentile() has it. Nulls are left out, and groups without values too;
-    NaN is the greatest value."""
+    NaN is the greatest value. Where no group has more than SMALL rows, percentile() holds them as they are."""
     groups = by or ["_all_rows"]
     x = F.col(value) if isinstance(value, str) else value
     rows = df.select(*(by or [F.lit(0).alias("_all_rows")]), x.cast("double").alias("x"))
-    values = stored(rows.where("x IS NOT NULL"), "values")
-    at = F.array(*[F.lit(float(m)) for m in marks])
+    rows, at = rows.where("x IS NOT NULL"), F.array(*[F.lit(float(m)) for m in marks])
+    if (rows.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0) <= SMALL:
+        held = rows.groupBy(*groups).agg(F.percentile("x", at).alias("q"))
+        return held if by else held.drop("_all_rows")
+    values = stored(rows, "values")
     sizes = values.groupBy(*groups).agg((F.count(F.lit(1)) - 1).alias("_last"))
     places = sizes.select(*groups, F.posexplode(F.transform(at, lambda m: m * F.col("_last"))).alias("_k", "_at"))
     places = stored(places, "places")
