@@ -58,18 +58,28 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 100)
 def in_blocks(rows: DataFrame, cell: list[str], within: bool = False) -> DataFrame:
     """rows (cell, node, component) of cells that hold several components, under a number `cell` that
     cells of the same members share and are taken once for, with own block and each pair of blocks
-    (low, high) that it takes part in: every two rows of a cell meet in one pair of blocks at least.
+    (low, high) that it takes part in: every two rows of a cell that differ in component meet in one
+    pair of blocks at least. The largest component of a cell has blocks of its own, which don't meet
+    one another, so a crowd that is united but for a few nodes costs rows in proportion to it.
     within: only the pair of its own block with itself."""
     cells = rows.groupBy(*cell).agg(
         F.count(F.lit(1)).alias("_n"), F.min("component").alias("_least"), F.max("component").alias("_most"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_members")
     )
-    cells = cells.where("_least < _most").select(*cell, F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"), F.xxhash64("_members", "_n").alias("_cell"))
+    cells = cells.where("_least < _most").select(*cell, "_n", F.xxhash64("_members", "_n").alias("_cell"))
     rows = rows.join(cells, cell).drop(*cell).withColumnRenamed("_cell", "cell").dropDuplicates(["cell", "node"])
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    share = lambda n: F.pmod(F.xxhash64("node"), F.ceil(n / BLOCK)).cast("int")
     if within:
-        return rows.withColumns({"low": F.col("block"), "high": F.col("block")}).drop("_blocks")
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    return rows.withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}).drop("_blocks", "_other")
+        rows = rows.withColumn("block", share(F.col("_n")))
+        return rows.withColumns({"low": F.col("block"), "high": F.col("block")}).drop("_n")
+    rows = stored(rows, "cell-rows")
+    parts = rows.where(F.col("_n") > BLOCK).groupBy("cell", "component").agg(F.count(F.lit(1)).alias("_size"))
+    largest = parts.groupBy("cell").agg(F.max(F.struct("_size", "component")).alias("_top"))
+    rows = rows.join(largest, "cell", "left").withColumns({"_in": F.coalesce(F.col("_top.component") == F.col("component"), F.lit(False)), "_size": F.coalesce("_top._size", F.lit(0))})
+    rows = rows.withColumn("_rest", F.ceil((F.col("_n") - F.col("_size")) / BLOCK).cast("int"))
+    rows = rows.withColumn("block", F.when(F.col("_in"), F.col("_rest") + share(F.col("_size"))).otherwise(share(F.col("_n") - F.col("_size"))))
+    last = F.when(F.col("_in"), F.col("_rest")).otherwise(F.col("_rest") + F.ceil(F.col("_size") / BLOCK).cast("int")) - 1
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), last)))
+    return rows.withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}).drop("_n", "_top", "_in", "_size", "_rest", "_other")
 
 
 def united(parts: np.ndarray, pairs: Iterable[tuple[int, int, Callable[[], bool]]]) -> list[tuple[int, int]]:

@@ -5,12 +5,16 @@ sequence of MinHashes read as a sorting key. In each tree's sorted order, nodes
 the first BASE hashes in common form a region, and neighbours in a region are candidates. Links
 are confirmed on full shingle sets.
 
-Candidates come in two rounds. The first takes sorted neighbours, and confirms each node's best
+Candidates come in three rounds. The first takes sorted neighbours, and confirms each node's best
 candidate only: that unites nearly all groups at linear cost, however large they are. The second
-compares, in every region that still holds several components, all nodes across components. A
-crowded region is divided into blocks, and each pair of blocks is a small task of its own that
-takes both blocks' sets and hands out only links that unite components: no table of pairs is made.
-Pairs within one component need no test, as they change no result.
+compares, in every region that still holds several components, all nodes across components; a
+region of more than CROWD rows is taken deeper, part by part, until each part has fewer. What a
+crowd loses by that, or holds under equal keys, the third round finds exactly: nodes of crowds
+meet under their rarest shingles, of which two linked sets have one in common.
+
+Cells are divided into blocks, and each pair of blocks is a small task of its own that takes both
+blocks' sets and hands out only links that unite components: no table of pairs is made. Pairs
+within one component need no test, as they change no result.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ WORDS, PERCENT = 5, 75
 TREES, DEPTH, BASE = 20, 8, 4
 #: Sorted neighbours of the first round; rows of a region that are sorted in one task there.
 NEIGHBOURS, SORTED_ROWS = 3, 4096
+#: Rows of a region that are compared at one depth; a region of more is a crowd and is taken deeper.
+CROWD = 2048
 #: Hashes of two signatures that agree at least before full sets are compared. At a similarity of 0.75
 #: 120 of 160 are expected, and fewer than 100 agree with probability 0.0002.
 AGREE = 100
@@ -187,14 +193,61 @@ def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y])})
 
 
-def _across(shared: DataFrame, placed: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between components among the nodes of each region."""
-    rows = shared.select("tree", "prefix", "node").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = in_blocks(rows, ["tree", "prefix"]).join(sets, "node")
+def _mixed(shared: DataFrame, placed: DataFrame) -> DataFrame:
+    """Rows (tree, prefix, key, node, component) of regions that hold several components, with their
+    number of members n."""
+    rows = shared.select("tree", "prefix", "key", "node").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = rows.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("_least"), F.max("component").alias("_most"))
+    return rows.join(sizes.where("_least < _most").drop("_least", "_most"), ["tree", "prefix"])
+
+
+def _deepened(mixed: DataFrame) -> DataFrame:
+    """cell, node, component: each region as it is where it has no more than CROWD rows, else its parts
+    of the least depth at which they have no more. What shares the whole key in a crowd has no cell."""
+    cell = lambda d: F.xxhash64("tree", F.substring("key", 1, d * _HASH_BYTES))
+    own = ["node", "component"]
+    cells = mixed.where(F.col("n") <= CROWD).select(cell(BASE).alias("cell"), *own)
+    left = stored(mixed.where(F.col("n") > CROWD).drop("n"), "crowds")
+    for depth in range(BASE + 1, DEPTH + 1):
+        if not left.limit(1).count():
+            break
+        rows = left.withColumn("cell", cell(depth))
+        rows = stored(rows.join(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cell"), f"depth-{depth}")
+        cells = cells.unionByName(rows.where(F.col("n").between(2, CROWD)).select("cell", *own))
+        left = rows.where(F.col("n") > CROWD).drop("cell", "n")
+    return cells
+
+
+def _rarest(crowd: DataFrame, sets: DataFrame) -> DataFrame:
+    """cell, node, component of the crowd's nodes under each of their rarest shingles. Of a set in the
+    order (times seen in the crowd, shingle), the first n - ceil(PERCENT n / 100) + 1 are enough: two
+    sets that share PERCENT of their union have one of these in common."""
+    own = sets.join(crowd, "node").select("node", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("cell"))
+    often = own.groupBy("cell").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    of = Window.partitionBy("node")
+    # shingles seen once come first and lead to nobody
+    rows = own.join(often, "cell").withColumns({"place": F.row_number().over(of.orderBy("often", "cell")), "seen": F.count(F.lit(1)).over(of)})
+    return rows.where(F.expr(f"place <= seen - ceil({PERCENT} * n / 100) + 1")).select("cell", "node", "component")
+
+
+def _links_in(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components among the nodes of each cell."""
     by = ["cell", "low", "high"]
+    rows = in_blocks(cells, ["cell"]).join(sets, "node")
     return rows.repartition(*by).sortWithinPartitions(*by).mapInPandas(_verified, "a long, b long").distinct()
 
 
+def _across(shared: DataFrame, placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components among the nodes of each region, deeper where it is crowded."""
+    return _links_in(_deepened(stored(_mixed(shared, placed), "mixed-regions")), sets)
+
+
+def _across_crowds(shared: DataFrame, placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components among all nodes of crowded regions, whatever depth they share."""
+    crowd = stored(_mixed(shared, placed).where(F.col("n") > CROWD).select("node", "component").distinct(), "crowd")
+    return _links_in(_rarest(crowd, sets), sets)
+
+
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -232,10 +285,12 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     links = stored(_confirmed(first, sets), "first-links")
     placed = stored(components(links), "first-components")
 
-    # second round: what regions hold across components
-    more = stored(_across(shared, placed, sets), "second-links")
-    if more.limit(1).count():
-        placed = stored(components(links.unionByName(more)), "components")
+    # second round: what regions hold across components, then what crowds lost by going deeper
+    for across, name in ((_across, "second"), (_across_crowds, "crowd")):
+        more = stored(across(shared, placed, sets), f"{name}-links")
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            placed = stored(components(links), f"{name}-components")
 
     settled = classes.join(placed, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     return (

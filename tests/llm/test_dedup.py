@@ -273,3 +273,52 @@ def test_a_region_of_equal_keys_is_compared_in_full(spark):
     sets = spark.range(600).selectExpr("id AS node", "sequence(1L, 100L) AS shingles", signature)
     united = components(near_dedup._across(rows, placed, sets).unionByName(spark.range(1, 500).selectExpr("0L AS a", "id AS b")))
     assert united.where("component = 0").count() == 600
+
+
+@pytest.mark.parametrize("crowd", [8, 64])
+def test_crowds_go_deeper_and_lose_no_link(spark, words, monkeypatch, crowd):
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
+    rng = np.random.default_rng(8)
+    template = list(rng.choice(words, 240))
+    texts = []
+    for _ in range(120):
+        own = template + list(rng.choice(words, 60))
+        texts += [" ".join(own), " ".join(own[:-24] + [str(x) for x in rng.integers(0, 10**9, 40)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    truth = brute_components({i: shingles(t) for i, t in enumerate(texts)})
+    assert {i: r.component_id for i, r in by_id(near_dedup.near_duplicates(docs)).items()} == truth
+
+
+def test_rarest_shingles_bring_every_linked_pair_together(spark):
+    rng = np.random.default_rng(9)
+    bases = [set(map(int, rng.choice(400, 60, replace=False))) for _ in range(12)]
+    sets = []
+    for _ in range(150):
+        s = set(bases[rng.integers(12)])
+        s -= set(map(int, rng.choice(400, rng.integers(0, 80))))
+        sets.append(s | set(map(int, rng.choice(400, rng.integers(1, 12)))))
+    table = spark.createDataFrame([(i, [int(x) for x in s]) for i, s in enumerate(sets)], "node long, shingles array<long>")
+    crowd = spark.range(150).selectExpr("id AS node", "id AS component")
+    cells = {}
+    for r in near_dedup._rarest(crowd, table).collect():
+        cells.setdefault(r.cell, set()).add(r.node)
+    linked = [(i, j) for i in range(150) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    assert len(linked) > 20
+    assert all(any({i, j} <= c for c in cells.values()) for i, j in linked)
+
+
+@pytest.mark.parametrize("n", [2_000, 8_000, 32_000])
+def test_rows_of_a_united_crowd_grow_with_its_nodes(spark, n):
+    from genpulse.llm.components import in_blocks
+
+    rows = spark.range(n).selectExpr("1L AS cell", "id AS node", "if(id < 200, id, 200L) AS component")
+    assert in_blocks(rows, ["cell"]).count() <= n + 200 * (n // 512 + 2)
+
+
+def test_rows_of_a_crowd_without_links_grow_with_its_nodes(spark):
+    # a template of 60 shingles and 40 own ones: nobody is linked, and rare shingles lead to nobody
+    made = {}
+    for n in (500, 2_000):
+        sets = spark.range(n).selectExpr("id AS node", "concat(sequence(1L, 60L), sequence(1000 + 40 * id, 1039 + 40 * id)) AS shingles")
+        made[n] = near_dedup._rarest(spark.range(n).selectExpr("id AS node", "id AS component"), sets).count()
+    assert made[500] == made[2_000] == 0
