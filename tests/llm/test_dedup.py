@@ -322,3 +322,23 @@ def test_rows_of_a_crowd_without_links_grow_with_its_nodes(spark):
         sets = spark.range(n).selectExpr("id AS node", "concat(sequence(1L, 60L), sequence(1000 + 40 * id, 1039 + 40 * id)) AS shingles")
         made[n] = near_dedup._rarest(spark.range(n).selectExpr("id AS node", "id AS component"), sets).count()
     assert made[500] == made[2_000] == 0
+
+
+def test_fuzzy_lines_of_any_length(spark, words):
+    rng = np.random.default_rng(4)
+    line = " ".join(rng.choice(words, 40_000))
+    rows = [(1, line), (2, line[:100_000] + "zq" + line[100_002:]), (3, "a line of its own")]
+    assert [r.n_removed for r in sorted(line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())] == [0, 1, 0]
+
+
+@pytest.mark.parametrize("n", [16, 30, 60])
+def test_letter_edits_in_lines_over_any_length_have_keys(spark, n):
+    # one letter of every fourth word: few words stand, so what is found in long lines comes from trigrams too
+    rng = np.random.default_rng(n)
+    word = lambda: "".join(rng.choice(list("abcdeghilmnorstu"), rng.integers(5, 9)))
+    rows = []
+    for k in range(100):
+        line = [word() for _ in range(n)]
+        changed = ["q" + w[1:] if i % 4 == 0 else w for i, w in enumerate(line)]
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(changed))]
+    assert 90 <= line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).agg({"n_removed": "sum"}).first()[0] <= 100
