@@ -342,3 +342,44 @@ def test_letter_edits_in_lines_over_any_length_have_keys(spark, n):
         changed = ["q" + w[1:] if i % 4 == 0 else w for i, w in enumerate(line)]
         rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(changed))]
     assert 90 <= line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).agg({"n_removed": "sum"}).first()[0] <= 100
+
+
+def test_every_pair_one_edit_apart_is_found_where_one_is_allowed(spark):
+    rng = np.random.default_rng(12)
+    letters = list("abcdefghij")
+    rows, want = [], 0
+    for k in range(200):
+        x = "".join(rng.choice(letters, rng.integers(8, 13)))
+        at, kind = rng.integers(len(x)), k % 3
+        y = x[:at] + ("" if kind == 0 else "z" if kind == 1 else "z" + x[at]) + x[at + 1 :]
+        want += 100 * edits(x, y) <= 15 * max(len(x), len(y))
+        rows += [(2 * k, x), (2 * k + 1, y)]
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).agg({"n_removed": "sum"}).first()[0]
+    assert got == want == 200
+
+
+def test_bounds_refuse_no_similar_lines(monkeypatch):
+    rng = np.random.default_rng(13)
+    syllables = ["er", "an", "th", "ion", "ea", "re", "on", " "]
+    lines = []
+    for _ in range(40):
+        x = "".join(rng.choice(syllables, rng.integers(20, 400))).strip()
+        y = list(x)
+        for at in rng.integers(0, len(y), int(len(y) * rng.uniform(0, 0.25))):
+            y[at] = rng.choice(list("abc"))
+        lines += [x, "".join(y)]
+    own = np.arange(len(lines))
+    similar = {(i, j) for i in own for j in own[i + 1 :] if 100 * line_dedup.edits(lines[i], lines[j]) <= 15 * max(len(lines[i]), len(lines[j]))}
+    assert 10 < len(similar) < 60
+    # each test on its own, so none is skipped for what others have united
+    monkeypatch.setattr(line_dedup, "united", lambda parts, pairs: [(x, y) for x, y, linked in pairs if linked()])
+    assert set(line_dedup._alike(own * 0, own, lines, False)) == similar
+
+
+def test_edits_up_to_a_bound():
+    rng = np.random.default_rng(14)
+    for _ in range(300):
+        x, y = ("".join(rng.choice(list("abc"), rng.integers(0, 40))) for _ in range(2))
+        true, most = edits(x, y), int(rng.integers(0, 20))
+        assert line_dedup.edits(x, y) == true
+        assert (line_dedup.edits(x, y, most) <= most) == (true <= most)
