@@ -251,15 +251,20 @@ def multiset_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return rows.agg(more("n_a", "n_b").alias("only_a"), more("n_b", "n_a").alias("only_b"))
 
 
-def target_changes(a: DataFrame, b: DataFrame, column: str = "target_fuel") -> DataFrame:
-    """Keys in one table only and in both, and how targets changed between them."""
-    keys = [KEY, "timestamp"]
-    both = a.select(*keys, F.col(column).alias("x"), F.lit(True).alias("in_a")).join(b.select(*keys, F.col(column).alias("y"), F.lit(True).alias("in_b")), keys, "full_outer")
-    met = F.col("in_a").isNotNull() & F.col("in_b").isNotNull()
-    return both.agg(
-        F.count_if(F.col("in_b").isNull()).alias("left_only"), F.count_if(F.col("in_a").isNull()).alias("right_only"), F.count_if(met).alias("in_both"),
-        F.count_if(met & F.col("x").isNotNull() & F.col("y").isNull()).alias("valid_to_missing"), F.count_if(met & F.col("x").isNull() & F.col("y").isNotNull()).alias("missing_to_valid"),
-        F.count_if(met & (F.abs(F.col("x") - F.col("y")) > 1e-6)).alias("changed"),
+def target_changes(a: DataFrame, b: DataFrame, column: str = "target_fuel", keys: tuple[str, ...] = (KEY, "timestamp", "row_id")) -> DataFrame:
+    """Rows in one table only and in both, and how targets changed between them. Rows of equal keys,
+    null or not, meet one to one in the order of their targets, however often a key occurs."""
+    side = lambda df, first: df.select(*keys, F.lit(first).alias("_first"), F.col(column).alias("_value"))
+    order = Window.partitionBy(*keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    both = side(a, True).unionByName(side(b, False))
+    both = both.withColumn("_k", F.when(F.col("_first"), F.count_if("_first").over(order)).otherwise(F.count_if(~F.col("_first")).over(order)))
+    of = lambda first, how, value: how(F.when(F.col("_first") == first, value))
+    met = both.groupBy(*keys, "_k").agg(of(True, F.count, F.lit(1)).alias("_a"), of(False, F.count, F.lit(1)).alias("_b"), of(True, F.max, F.col("_value")).alias("x"), of(False, F.max, F.col("_value")).alias("y"))
+    here = (F.col("_a") > 0) & (F.col("_b") > 0)
+    return met.agg(
+        F.count_if(F.col("_b") == 0).alias("left_only"), F.count_if(F.col("_a") == 0).alias("right_only"), F.count_if(here).alias("in_both"),
+        F.count_if(here & F.col("x").isNotNull() & F.col("y").isNull()).alias("valid_to_missing"), F.count_if(here & F.col("x").isNull() & F.col("y").isNotNull()).alias("missing_to_valid"),
+        F.count_if(here & (F.abs(F.col("x") - F.col("y")) > 1e-6)).alias("changed"),
     )
 
 

@@ -146,3 +146,10 @@ def test_csv_in_and_out(spark, tmp_path):
     assert tables.read_lines(spark, str(tmp_path / "lines")) == ["a", "b"]
     tables.write_csv(spark.sql("SELECT 1 AS a, array('x') AS b"), str(tmp_path / "out"))
     assert spark.read.csv(str(tmp_path / "out"), header=True).first().b == '["x"]'
+
+
+def test_target_changes_of_packets_at_one_time_meet_one_to_one(spark):
+    t = spark.createDataFrame([("G", 0, 1, 5.0), ("G", 0, 2, None), ("G", 0, 3, 7.0), (None, 0, 4, 1.0), ("G", None, 5, 2.0), ("G", 9, 6, 3.0), ("G", 9, 6, 3.0)], "generator_id string, timestamp int, row_id long, target_fuel double")
+    assert tuple(forecast.target_changes(t, t).first()) == (0, 0, 7, 0, 0, 0)
+    other = spark.createDataFrame([("G", 0, 1, None), ("G", 0, 2, 5.0), (None, 0, 4, 4.0), ("G", None, 5, 2.0), ("G", 9, 6, 3.0), ("G", 8, 7, 3.0)], t.schema)
+    assert tuple(forecast.target_changes(t, other).first()) == (2, 1, 5, 1, 1, 1)
