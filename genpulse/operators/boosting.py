@@ -28,7 +28,11 @@ from ..functions.series import KEY
 from ..sources.scratch import stored
 
 #: Rows that a task is meant to hold; bins of a feature.
-TASK_ROWS, BINS = 2_000_000, 64
+TASK_ROWS, BINS = 500_000, 64
+#: Rows that are taken at once, so that what is made of them stays in a core's cache.
+BLOCK = 1 << 14
+#: Nodes up to which a level's histograms are summed by pairs of features.
+PAIRED = 4
 _NODES = "tree int, node int, feature int, threshold double, missing_left boolean, left int, right int, value double, gain double, n long"
 #: The row of a tree that has no node holds its errors: value on validation, gain on training.
 _ERRORS = -1
@@ -79,19 +83,18 @@ class Model:
 
     def values(self, x: np.ndarray) -> np.ndarray:
         """Predictions for rows of feature values, NaN where missing."""
+        walks = [_walk(t, len(self.features)) for t in self.trees]
         out = np.full(len(x), self.base)
-        places = np.arange(len(x))
-        for t in self.trees:
-            at = np.zeros(len(x), dtype=np.int64)
-            while True:
-                f = t.feature[at]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                v = x[places, np.maximum(f, 0)]
-                left = np.where(np.isnan(v), t.missing_left[at], v <= t.threshold[at])
-                at = np.where(inner, np.where(left, t.left[at], t.right[at]), at)
-            out += t.value[at]
+        for begin in range(0, len(x), BLOCK):
+            rows = x[begin : begin + BLOCK].T
+            # missing values are below every threshold where they go left, and above all where right
+            both = np.concatenate([np.where(np.isnan(rows), -np.inf, rows), rows]).reshape(-1)
+            n, places = rows.shape[1], np.arange(rows.shape[1])
+            for (column, threshold, child, depth), t in zip(walks, self.trees):
+                starts, at = column * n, np.zeros(n, dtype=np.intp)
+                for _ in range(depth):
+                    at = child[2 * at + ~(both[starts[at] + places] <= threshold[at])]
+                out[begin : begin + n] += t.value[at]
         return out
 
     def predict(self, df: DataFrame, as_column: str = "prediction") -> DataFrame:
@@ -112,6 +115,18 @@ class Model:
         return spark.createDataFrame(scores, "feature string, importance double")
 
 
+def _walk(t: Tree, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The column that each node reads (of features twice, the first ones for missing values that go
+    left), its threshold, its children (left, right; a leaf's are itself), and the tree's depth."""
+    inner, own = t.feature >= 0, np.arange(len(t.feature))
+    child = np.stack([np.where(inner, t.left, own), np.where(inner, t.right, own)], axis=1).astype(np.intp)
+    column = np.where(inner, t.feature + np.where(t.missing_left.astype(bool), 0, features), 0).astype(np.intp)
+    depth, level = 0, np.array([0])
+    while (level := child[level[inner[level]]].ravel()).size:
+        depth += 1
+    return column, t.threshold, child.ravel(), depth
+
+
 def number(value: Column) -> Column:
     """value as a double; NaN and infinities are missing."""
     x = value.cast("double")
@@ -233,24 +248,63 @@ class _Part:
         join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
         self.x = np.ascontiguousarray((np.concatenate(binned) if binned else np.empty((0, len(cuts)), np.uint8)).T)
         self.y, self.key, self.held = join(label, np.float64), join(key, np.int64).view(np.uint64), join(held, bool)
+        # neighbouring features as one, the last one alone where there is no neighbour
+        kind = np.min_scalar_type(self.bins * self.bins)
+        self.pairs = [self.x[k].astype(kind) * kind.type(self.bins) + (self.x[k + 1] if k + 1 < len(cuts) else kind.type(0)) for k in range(0, len(cuts), 2)]
+
+    def blocks(self) -> Iterator[slice]:
+        return (slice(k, k + BLOCK) for k in range(0, len(self.y), BLOCK))
+
+    def sampled(self, salt: int, share: float) -> np.ndarray:
+        """Which rows train a tree."""
+        out = ~self.held
+        if share < 1:
+            for b in self.blocks():
+                out[b] &= _mixed(self.key[b], salt) < np.uint64(share * float((1 << 64) - 1025))
+        return out
 
-    def histograms(self, slot: np.ndarray, slots: int, gradient: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
-        """(2, slots, columns, bins) sums of gradients and of rows; slot: a node's place, or below 0."""
+    def moved(self, at: np.ndarray, feature: np.ndarray, following: np.ndarray) -> None:
+        """Brings rows from their nodes (at) to those that follow: feature is what a node looks at, and following its next nodes by bin."""
+        starts, flat, following = feature * len(self.y), self.x.reshape(-1), following.reshape(-1)
+        for b in self.blocks():
+            here = at[b].astype(np.intp)
+            place = np.arange(b.start, b.start + len(here))
+            place += starts[here]
+            here *= self.bins
+            here += flat[place]
+            at[b] = following[here]
+
+    def histograms(self, at: np.ndarray, place: np.ndarray, slots: int, gradient: np.ndarray, chosen: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """(2, slots, columns, bins) sums of gradients and of chosen rows; place: that of each node, or below 0.
+        Few nodes are summed by pairs of features, as sums into few cells wait for one another."""
         out = np.zeros((2, slots, len(columns), self.bins))
-        wanted = rows[slot[rows] >= 0]
-        base, g = slot[wanted] * self.bins, gradient[wanted]
-        for k, c in enumerate(columns):
-            cell = base + self.x[c][wanted]
-            out[0, :, k] = np.bincount(cell, g, slots * self.bins).reshape(slots, self.bins)
-            out[1, :, k] = np.bincount(cell, minlength=slots * self.bins).reshape(slots, self.bins)
+        slot = place[at]
+        wanted = np.flatnonzero(chosen & (slot >= 0))
+        slot, g = slot[wanted].astype(np.intp), gradient[wanted]
+        if slots <= PAIRED:
+            shape = (slots, self.bins, self.bins)
+            where, base = {int(c): k for k, c in enumerate(columns)}, slot * self.bins**2
+            for p in sorted({int(c) // 2 for c in columns}):
+                cell = base + self.pairs[p][wanted]
+                for kind, weights in enumerate((g, None)):
+                    both = np.bincount(cell, weights, slots * self.bins**2).reshape(shape)
+                    for c, axis in ((2 * p, 2), (2 * p + 1, 1)):
+                        if c in where:
+                            out[kind, :, where[c]] = both.sum(axis=axis)
+        else:
+            base = slot * self.bins
+            for k, c in enumerate(columns):
+                cell = base + self.x[c][wanted]
+                out[0, :, k] = np.bincount(cell, g, slots * self.bins).reshape(slots, self.bins)
+                out[1, :, k] = np.bincount(cell, minlength=slots * self.bins).reshape(slots, self.bins)
         return self.total(out)
 
 
-def _grown(part: _Part, cuts: list[np.ndarray], gradient: np.ndarray, rows: np.ndarray, columns: np.ndarray, s: Settings) -> tuple[list[tuple], np.ndarray]:
+def _grown(part: _Part, cuts: list[np.ndarray], gradient: np.ndarray, chosen: np.ndarray, columns: np.ndarray, s: Settings) -> tuple[list[tuple], np.ndarray]:
     """Nodes (feature, threshold, missing_left, left, right, value, gain, n) of a tree, and the leaf of every row."""
-    at = np.zeros(part.x.shape[1], dtype=np.int64)
+    at = np.zeros(len(part.y), dtype=np.int32)
     nodes: list[list] = []
-    hist = part.histograms(at, 1, gradient, rows, columns)
+    hist = part.histograms(at, np.zeros(1, dtype=np.int32), 1, gradient, chosen, columns)
     level = [0]
     g, n = float(hist[0, 0, 0].sum()), float(hist[1, 0, 0].sum())
     nodes.append([-1, 0.0, False, -1, -1, -s.rate * g / (n + s.ridge), 0.0, int(n)])
@@ -260,7 +314,7 @@ def _grown(part: _Part, cuts: list[np.ndarray], gradient: np.ndarray, rows: np.n
         if not len(split):
             break
         first = len(nodes)
-        slot = np.full(first, -1)
+        looks, following = np.zeros(first, dtype=np.intp), np.repeat(np.arange(first, dtype=np.int32)[:, None], part.bins, axis=1)
         children = []
         for k in split.tolist():
             f, b = int(feature[k]), int(cut[k])
@@ -272,23 +326,18 @@ def _grown(part: _Part, cuts: list[np.ndarray], gradient: np.ndarray, rows: np.n
             c = cuts[columns[f]]
             node[:5] = int(columns[f]), float(c[b]) if b < len(c) else float("inf"), bool(missing_left[k]), len(nodes), len(nodes) + 1
             node[6] = float(gain[k])
-            slot[level[k]] = len(children) // 2
+            looks[level[k]], following[level[k]] = columns[f], np.where(sides, len(nodes), len(nodes) + 1)
             nodes += [[-1, 0.0, False, -1, -1, -s.rate * gg / (nn + s.ridge), 0.0, int(nn)] for gg, nn in zip(g, n)]
             children += n
-        # rows of split nodes go on to children, by one table of bins for each split
-        moved = np.flatnonzero(slot[at] >= 0)
-        k = slot[at[moved]]
-        which = part.x[columns[feature[split]][k], moved]
-        left = np.where(which == part.bins - 1, missing_left[split][k], which <= cut[split][k])
-        at[moved] = first + 2 * k + ~left
+        part.moved(at, looks, following)
         if depth + 1 == s.depth:
             break
         # only the smaller child of each pair is summed
         pairs = np.array(children).reshape(-1, 2)
         smaller = (pairs[:, 1] < pairs[:, 0]).astype(np.int64)
-        place = np.full(len(nodes), -1)
+        place = np.full(len(nodes), -1, dtype=np.int32)
         place[first + 2 * np.arange(len(pairs)) + smaller] = np.arange(len(pairs))
-        few = part.histograms(place[at], len(pairs), gradient, rows, columns)
+        few = part.histograms(at, place, len(pairs), gradient, chosen, columns)
         both = np.empty((2, 2 * len(pairs), *few.shape[2:]))
         both[:, 2 * np.arange(len(pairs)) + smaller] = few
         both[:, 2 * np.arange(len(pairs)) + 1 - smaller] = hist[:, split] - few
@@ -307,9 +356,9 @@ def _trained(part: _Part, cuts: list[np.ndarray], s: Settings) -> Iterator[tuple
     now, best, rng = np.full(len(part.y), base), (np.inf, 0), np.random.default_rng(s.seed)
     for tree in range(s.trees):
         gradient = now - part.y
-        chosen = _mixed(part.key[learn], s.seed * 100_003 + tree) < np.uint64(min(s.rows, 1.0) * float((1 << 64) - 1025)) if s.rows < 1 else np.ones(len(learn), bool)
+        chosen = part.sampled(s.seed * 100_003 + tree, s.rows)
         columns = np.sort(rng.choice(len(cuts), max(1, int(s.columns * len(cuts))), replace=False))
-        nodes, leaf = _grown(part, cuts, gradient, learn[chosen], columns, s)
+        nodes, leaf = _grown(part, cuts, gradient, chosen, columns, s)
         for k, x in enumerate(nodes):
             yield (tree, k, *x)
         now += np.array([x[5] for x in nodes])[leaf]

@@ -91,6 +91,8 @@ FEATURES = [*src.SENSORS, "fuel_delta", "current_delta", "time_delta_sec", "hour
 def model_rows(spark, sf_dir):
     """Features, target and split of the rows that have a target."""
     t = fc.calendar(fc.windowed(rules.with_deltas(src.telemetry(spark, sf_dir)), MINUTES))
+    # the join of targets packs whole rows, so frames that no feature needs would be made for it
+    t = t.select("row_id", "generator_id", "timestamp", *FEATURES)
     return stored(fc.split(fc.target(t, 3, 60)).where("target_available").select("row_id", "generator_id", "timestamp", "split", "target_fuel", *FEATURES), "model-rows")
 
 
@@ -99,10 +101,15 @@ def model_of(rows):
     return gb.fit(rows.where("split = 'train'"), FEATURES)
 
 
+def predicted(rows, model):
+    """The test rows with predictions, made once for all that reads them."""
+    return stored(model.predict(rows.where("split = 'test'")), "predictions")
+
+
 @query()
 def boosted_tree_forecast(spark, sf_dir):
     rows = model_rows(spark, sf_dir)
-    return fc.metrics(fc.with_errors(model_of(rows).predict(rows.where("split = 'test'"))))
+    return fc.metrics(fc.with_errors(predicted(rows, model_of(rows))))
 
 
 @query()
@@ -124,7 +131,7 @@ def forecast_importances(spark, sf_dir):
 def generator_model_performance(spark, sf_dir):
     """Errors of the model for each generator's test rows, and those of persistence over the same rows."""
     rows = model_rows(spark, sf_dir)
-    return fc.beside_persistence(model_of(rows).predict(rows.where("split = 'test'")), src.telemetry(spark, sf_dir))
+    return fc.beside_persistence(predicted(rows, model_of(rows)), src.telemetry(spark, sf_dir))
 
 
 def in_two_appends(spark, sf_dir):

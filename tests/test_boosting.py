@@ -1,6 +1,7 @@
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,55 @@ def test_odd_tables(spark):
     odd = df.withColumns({"a": F.lit(None).cast("double"), "b": F.lit(float("nan")), "c": F.lit(1.0), "y": F.when(F.col("id") > 3, F.col("y"))})
     model = fitted(odd, trees=2)
     assert model.values(np.array([[np.nan] * 3]))[0] == pytest.approx(odd.agg(F.avg("y")).first()[0])
+
+
+def one_row_at_a_time(model, row):
+    """The sum of the leaves that a row comes to, node by node."""
+    out = model.base
+    for t in model.trees:
+        at = 0
+        while t.feature[at] >= 0:
+            v = row[t.feature[at]]
+            left = t.missing_left[at] if np.isnan(v) else v <= t.threshold[at]
+            at = (t.left if left else t.right)[at]
+        out += t.value[at]
+    return out
+
+
+def test_predictions_equal_walks_of_single_rows(spark, monkeypatch):
+    monkeypatch.setattr(gb, "BLOCK", 64)
+    model = fitted(some_rows(spark), trees=12, depth=5, rows=0.7, columns=0.7)
+    assert any(np.isinf(t.threshold).any() for t in model.trees) or any(t.missing_left.any() for t in model.trees)
+    x = np.random.default_rng(3).normal(size=(300, 3))
+    x[np.random.default_rng(4).random(x.shape) < 0.3] = np.nan
+    np.testing.assert_allclose(model.values(x), [one_row_at_a_time(model, row) for row in x], rtol=1e-12)
+    assert gb.Model(NAMES, 2.0, []).values(x).tolist() == [2.0] * 300
+
+
+@pytest.mark.parametrize("features", [3, 4])
+def test_histograms_by_pairs_and_singly_equal_sums(monkeypatch, features):
+    monkeypatch.setattr(gb, "BLOCK", 32)
+    rng = np.random.default_rng(features)
+    cuts = [np.arange(1.0, 2 + k) for k in range(features)]
+    frame = pd.DataFrame({f"f{k}": rng.choice([np.nan, 0.5, 1.5, 2.5, 9.0], 200) for k in range(features)} | {"label": rng.normal(size=200), "key": np.arange(200), "held_out": rng.random(200) < 0.2})
+    part = gb._Part(iter([frame[:90], frame[90:]]), cuts, None)
+    at, chosen, columns = rng.integers(9, size=200).astype(np.int32), part.sampled(1, 0.8), np.array([0, 2])
+    assert 0 < chosen.sum() < (~part.held).sum() and not chosen[part.held].any()
+    for slots in (2, 8):
+        place = np.where(np.arange(9) < slots, np.arange(9), -1).astype(np.int32)
+        found = part.histograms(at, place, slots, part.y, chosen, columns)
+        wanted = np.zeros_like(found)
+        for k in np.flatnonzero(chosen & (at < slots)):
+            for j, c in enumerate(columns):
+                wanted[:, at[k], j, part.x[c, k]] += part.y[k], 1
+        np.testing.assert_allclose(found, wanted, atol=1e-12)
+
+
+def test_predictions_are_made_once_and_rows_hold_only_features(spark):
+    from genpulse.plans import mechanisms
+
+    rows = mechanisms.model_rows(spark, "/root/testdata/sf0.001")
+    model = gb.fit(rows.where("split = 'train'"), mechanisms.FEATURES, settings=gb.Settings(trees=2))
+    made = mechanisms.predicted(rows, model)
+    assert "Python" not in made._jdf.queryExecution().toString() and made.where("prediction IS NULL").count() == 0
+    assert made.count() == rows.where("split = 'test'").count()
