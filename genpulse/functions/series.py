@@ -69,7 +69,8 @@ def rolling(column: str, seconds: float, least: int = 1, how: str = "mean", by:
     are decimal and exact, so a long series loses no digits. Readings are taken to PLACES places: one
     of 10**9 or more, NaN or infinity counts as missing, and one below half of the last place as 0.
     A frame's sum must stay below 10**12. by: the columns that part the rows into series."""
-    upto = so_far(Window.partitionBy(*by).orderBy(TIME, ROW))
+    # both orders begin with the same expression, so that one sort serves them, and a task holds its rows once
+    upto = so_far(Window.partitionBy(*by).orderBy(F.unix_micros(TIME), ROW))
     past = Window.partitionBy(*by).orderBy(F.unix_micros(TIME)).rangeBetween(Window.unboundedPreceding, -int(seconds * 1_000_000))
     x = F.col(column).try_cast(f"decimal(15,{PLACES})")
     within = lambda f, v: f(v).over(upto) - F.coalesce(f(v).over(past), F.lit(0))

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from helpers import column, telemetry
@@ -104,3 +105,10 @@ def test_frames_survive_readings_that_no_decimal_holds(spark):
     df = telemetry(spark, [("G", k, v, None, None, None) for k, v in enumerate([1, 1e10, 3, nan, inf, 1e-7, 5])])
     for got in (df.withColumn("x", s.rolling("fuel_level_l", 100, 1, "sum")), seg.framed(df, {"x": seg.Frame("fuel_level_l", 100, 1, "sum")}, 2.0)):
         assert column(got, "x") == [1, 1, 4, 4, 4, 4, 9] and not any(map(math.isnan, column(got, "x")))
+
+
+def test_frames_in_segments_sort_rows_once(spark):
+    df = telemetry(spark, [("G", 60 * k, k, k, k, "x") for k in range(50)])
+    out = seg.framed(df, {f"{how}_{n}": seg.Frame("current", n, 2, how) for how in ("mean", "std", "sum") for n in (300, 900)}, 1800)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"\bSort \[", plan)) == 1
