@@ -32,7 +32,8 @@ TASK_ROWS, BINS = 500_000, 64
 #: Rows that are taken at once, so that what is made of them stays in a core's cache.
 BLOCK = 1 << 14
 #: Nodes up to which a level's histograms are summed by pairs of features.
-PAIRED = 4
+#: 0: none, as another order of sums decides ties between splits otherwise.
+PAIRED = 0
 _NODES = "tree int, node int, feature int, threshold double, missing_left boolean, left int, right int, value double, gain double, n long"
 #: The row of a tree that has no node holds its errors: value on validation, gain on training.
 _ERRORS = -1
