@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -6,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from genpulse.llm import exact_dedup, induced_sort, line_dedup, near_dedup, substring_dedup
+from genpulse.llm import common, exact_dedup, induced_sort, line_dedup, near_dedup, substring_dedup
 from genpulse.llm.components import components
 
 
@@ -383,3 +384,29 @@ def test_edits_up_to_a_bound():
         true, most = edits(x, y), int(rng.integers(0, 20))
         assert line_dedup.edits(x, y) == true
         assert (line_dedup.edits(x, y, most) <= most) == (true <= most)
+
+
+def test_fuzzy_lines_take_little_disk(spark, words, tmp_path, monkeypatch):
+    # lines of one vocabulary without partners: neither their keys nor their texts are stored again and again
+    rng = random.Random(31)
+    rows = [(k, "\n".join(" ".join(rng.choice(words) for _ in range(rng.randint(20, 60))) for _ in range(8))) for k in range(250)]
+    monkeypatch.setattr(common, "scratch_root", lambda _: f"file://{tmp_path}")
+    assert line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).agg({"n_removed": "sum"}).first()[0] == 0
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < sum(len(t) for _, t in rows)
+
+
+def test_met_rows_across_frames():
+    rng = np.random.default_rng(4)
+    keys, size, node = rng.integers(40, size=300) << 20, rng.integers(7, 400, size=300), np.arange(300)
+    rows = pd.DataFrame({"cell": line_dedup._packed(keys, size, keys % 3 == 0), "node": node})
+    rows = pd.concat([rows, rows[:50]]).sort_values(["cell", "node"])
+    whole = pd.concat(line_dedup._met(iter([rows])))
+    assert len(whole) == len(whole.drop_duplicates())
+    for n in (1, 2, 7):
+        parts = pd.concat(line_dedup._met(rows[k : k + n] for k in range(0, len(rows), n)))
+        assert parts.values.tolist() == whole.values.tolist()
+    together = set()
+    for _, g in whole.groupby("cell"):
+        together |= {(a, b) for a in g["node"] for b in g["node"] if a < b}
+    similar = {(a, b) for a in node for b in node if a < b and keys[a] == keys[b] and 100 * min(size[a], size[b]) >= 85 * max(size[a], size[b])}
+    assert similar <= together
