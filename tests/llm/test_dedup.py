@@ -159,6 +159,33 @@ def test_a_shard_does_not_hold_every_place_of_a_string(monkeypatch):
     assert sum(sorted_at_once) == 12 * 100 and found["starts"].sum() == 20_000 * 21 - 12
 
 
+@pytest.mark.parametrize("held, size", [(1, 7), (3, 1), (200_000, 50), (200_000, 100_000)])
+def test_only_runs_with_a_partner_go_to_shards(words, monkeypatch, held, size):
+    """A phrase shorter than what a side needs brings no run to shards; every repeat is told at once or asked about."""
+    monkeypatch.setattr(substring_dedup, "HELD", held)
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 5_000)
+    rng = np.random.default_rng(3)
+    text = lambda n: " ".join(rng.choice(words, n)) + f" {rng.integers(1 << 60)} "
+    phrase, passage = "a phrase of forty-eight characters that all have", text(60)
+    texts = [text(20) + phrase + text(20) for _ in range(40)]
+    texts += [text(15) + passage[k : k + 110 + 5 * k] + text(15) for k in range(30)] + [passage] * 3 + ["short", ""]
+    frame = pd.DataFrame({"doc": range(len(texts)), "text": texts})
+    rows = pd.concat([x for k in range(0, len(frame), 20) for x in substring_dedup._all_runs(iter([frame.iloc[k : k + 20]]))])
+    rows = rows.sort_values(["key", "span", "doc", "place"], ignore_index=True)
+    out = pd.concat(substring_dedup._met(rows.iloc[k : k + size] for k in range(0, len(rows), size)))
+    starts = lambda rows: {(d, s + k) for d, s, n in zip(rows["doc"], rows["start"], rows["starts"]) for k in range(n)}
+    first, repeats = {}, set()
+    for d, x in enumerate(texts):
+        for s in range(len(x) - 99):
+            if first.setdefault(x[s : s + 100], (d, s)) != (d, s):
+                repeats.add((d, s))
+    sure, asked = starts(out[out["number"] == 0]), starts(out[out["number"] > 0])
+    assert sure and sure <= repeats <= sure | asked
+    assert all(first[texts[d][s : s + 100]] in asked for d, s in repeats - sure)
+    assert all(sorted(g) == list(range(1, len(g) + 1)) for _, g in out[out["number"] > 0].groupby("key")["number"])
+    assert held < 10 or all(d >= 40 for d, _ in asked)
+
+
 def test_substring_dedup_of_repeats_and_nulls(repeated, empty):
     assert {(r.n_bytes, r.n_removed) for r in substring_dedup.substring_dedup(repeated).collect()} == {(9, 0), (0, 0)}
     assert substring_dedup.substring_dedup(empty).count() == 0
