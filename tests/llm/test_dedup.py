@@ -413,6 +413,56 @@ def test_edits_up_to_a_bound():
         assert (line_dedup.edits(x, y, most) <= most) == (true <= most)
 
 
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh ", "αβγδ漢字", "\U0001f600x y"])
+def test_edits_of_many_pairs_at_once(monkeypatch, letters):
+    monkeypatch.setattr(line_dedup, "BATCHED", 350)
+    rng = np.random.default_rng(15)
+    lines = []
+    for _ in range(60):
+        x = list(rng.choice(list(letters), rng.integers(1, 400)))
+        y = list(x)
+        for _ in range(rng.integers(0, len(x) // 3 + 1)):
+            at = rng.integers(0, len(y))
+            y[at : at + rng.integers(0, 2)] = rng.choice(list(letters), rng.integers(0, 2)) if len(y) > 1 else y
+        lines += ["".join(x), "".join(y)]
+    i = np.concatenate((np.arange(0, 120, 2), rng.integers(0, 120, 100)))
+    j = np.concatenate((np.arange(1, 120, 2), rng.integers(0, 120, 100)))
+    true = np.array([edits(lines[a], lines[b]) for a, b in zip(i, j)])
+    for most in (true, true - 1, true + 1, true * 0 + 30):
+        assert (line_dedup._within(lines, i, j, most) == (true <= most)).all()
+        assert not (line_dedup._plain(lines, i, j, most) & (true > most)).any()
+
+
+def test_keys_in_parts_are_all_that_several_rows_have(monkeypatch):
+    monkeypatch.setattr(line_dedup, "KEY_ROWS", 100)
+    rng = np.random.default_rng(16)
+    cells = rng.integers(-(1 << 63), 1 << 63, size=400)[rng.integers(400, size=1_000)] >> 9 << 9 | rng.integers(1 << 9, size=1_000)
+    rows = pd.DataFrame({"cell": cells, "node": rng.integers(50, size=1_000)})
+    monkeypatch.setattr(line_dedup, "_cells", lambda frames: frames)
+    dealt = pd.concat(line_dedup._dealt((rows[k : k + 70] for k in range(0, 1_000, 70)), 12)).sort_values("part")
+    assert dealt["part"].between(0, 11).all() and dealt["part"].nunique() == 12
+    got = pd.concat(line_dedup._in_order(dealt[k : k + 9] for k in range(0, len(dealt), 9)))
+    several = rows[rows.groupby(rows["cell"] // 512)["cell"].transform("size") > 1]
+    assert sorted(got.values.tolist()) == sorted(several.values.tolist())
+    key = got["cell"] // 512
+    assert (key != key.shift()).sum() == key.nunique()
+
+
+def test_a_crowd_of_many_lengths_meets_by_length(spark):
+    rng = np.random.default_rng(17)
+    size = np.exp(rng.uniform(np.log(60), np.log(2_000), 3_000)).astype(int)
+    kind = line_dedup._packed(np.zeros(3_000, np.int64), size, False) >> 1
+    rows = spark.createDataFrame(pd.DataFrame({"cell": [1] * 2_990 + [2] * 10, "node": range(3_000), "kind": kind.astype(np.int32), "component": range(3_000)}))
+    got = line_dedup._by_length(rows).toPandas()
+    windows = got.groupby("node")["window"].agg(set)
+    for a, b in rng.integers(2_990, size=(20_000, 2)):
+        assert 100 * min(size[a], size[b]) < 85 * max(size[a], size[b]) or windows[a] & windows[b]
+    assert len(got[got["cell"] == 2]) == 10
+    from genpulse.llm.components import in_blocks
+
+    assert 2 * in_blocks(line_dedup._by_length(rows), ["cell", "window"]).count() < in_blocks(rows.drop("kind"), ["cell"]).count()
+
+
 def test_fuzzy_lines_take_little_disk(spark, words, tmp_path, monkeypatch):
     # lines of one vocabulary without partners: neither their keys nor their texts are stored again and again
     rng = random.Random(31)
